@@ -57,8 +57,8 @@ def unit_in_name(name: Column) -> Column:
     forms = [
         rf"\(\s*per\s+([^)]+)\)",
         rf"(?:\bper\s|/)\s*({some})\b",
-        r"(?:^|[\s(/-])(\d[\d,.]*\s*(?:k|m|thousand|million)\s*tok(?:en)?s?)\b",
         r"(?:^|[\s(/-])((?:k|m)tok(?:en)?s?)\b",
+        r"(?:^|[\s(/-])(\d[\d,.]*(?:[km]| thousand| million)\s*tok(?:en)?s?)\b",
     ]
     found = [F.regexp_extract(t, f, 1) for f in forms]
     return F.coalesce(*[F.when(x != "", x) for x in found])
@@ -125,7 +125,7 @@ def with_price_text(df: DataFrame, text: str, out: str) -> DataFrame:
     rest = F.regexp_replace("_t", r"[-+]?(?:\d[\d.,]*)(?:e[-+]?\d+)?", "#")
     cents = F.col("_t").rlike(r"¢|\bcents?\b")
     # Behind the price's own number stands the denominator.
-    tail = F.regexp_extract("_t", r"^\D*?[-+]?(?:\d[\d.,]*|\.\d+)(?:e[-+]?\d+)?\s*(?:us\s*)?(?:cents?|¢|usd|us\$|\$|dollars?)?\s*(?:/|per\b|je\b)?\s*(.*)$", 1)
+    tail = F.regexp_extract("_t", r"^\D*?[-+]?(?:\d[\d.,]*|\.\d+)(?:e[-+]?\d+)?\s*(?:us\s*cents?|cents?|¢|usd|us\$|\$|dollars?)?\s*(?:/|per\b|je\b)?\s*(.*)$", 1)
     money = rest.rlike(r"\$|\busd\b|¢|\bcents?\b|\bdollars?\b")
     d = d.withColumn("_money", money & ~F.col("_t").rlike(_OTHER_MONEY)).withColumn("_c", cents)
     d = d.withColumn("_unit", F.when(F.col("_bare"), F.lit("1")).otherwise(tail))
