@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronodiff.llm import encoding, spans
+from chronodiff.llm import canonical, encoding, spans
 from chronodiff.plans.queries import read
 
 
@@ -14,7 +14,14 @@ def _documents(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, s
     return lambda spark, d: f(read(spark, d, "documents"))
 
 
+def _unmatched(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "azure_retail_prices").select("row_id", "meter_name")
+    return canonical.unmatched(rows, canonical.map_names(rows, read(spark, d, "model_aliases")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": lambda spark, d: canonical.map_names(read(spark, d, "azure_retail_prices"), read(spark, d, "model_aliases")),
+    "p1_unmatched": _unmatched,
     "p7_ids": _documents(encoding.encode),
     "p9_found": _documents(spans.shared_chars),
     "p9_repeats": _documents(spans.repeated_runs),
