@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronodiff.llm import canonical, encoding, spans
+from chronodiff.llm import canonical, encoding, mixing, spans
 from chronodiff.plans.queries import read
 
 
@@ -23,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": lambda spark, d: canonical.map_names(read(spark, d, "azure_retail_prices"), read(spark, d, "model_aliases")),
     "p1_unmatched": _unmatched,
     "p7_ids": _documents(encoding.encode),
+    "p8_mix": lambda spark, d: mixing.mix(read(spark, d, "documents"), read(spark, d, "mix_targets"))[0],
+    "p8_report": lambda spark, d: mixing.mix(read(spark, d, "documents"), read(spark, d, "mix_targets"))[1],
     "p9_found": _documents(spans.shared_chars),
     "p9_repeats": _documents(spans.repeated_runs),
 }
