@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chronodiff.operators import instants, nested, references, snapshots, units
+from chronodiff.plans.reference_queries import REFERENCE
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,4 +36,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda m, s, a, e, src: instants.zone_report(instants.values(m, s, a, e), src)
     ),
     "p6_found": _tables("azure_retail_prices", "openrouter_models")(units.micro_prices),
+    **REFERENCE,
 }
