@@ -1,0 +1,87 @@
+"""Problem 1 against a plain Python version, and its parts."""
+
+import os
+
+import pytest
+
+from chronodiff.llm import canonical as C
+from chronodiff.llm.queries import QUERIES
+from chronodiff.plans.queries import read
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+ENTRIES = [
+    {"canonical_id": "veltra-1-5", "display_name": "Veltra 1.5", "provider": "arbrix", "aliases": {"openrouter": ["arbrix/veltra-1.5"]}},
+    {"canonical_id": "veltra-1-5-pro", "display_name": "Veltra 1.5 Pro", "provider": "arbrix", "aliases": {"openrouter": ["arbrix/opalbadger", "arbrix/opalbadger:free"], "arbrix": ["veltra-1-5-pro-20251104"]}},
+    {"canonical_id": "oplune-7-nano-preview", "display_name": "Oplune 7 Nano Preview", "provider": "norvane", "aliases": {"openrouter": ["norvane/oplune-7-nano-preview"], "aws-bedrock": ["norvane.oplune-7-nano-preview-20260322-v1:0"]}},
+    {"canonical_id": "oplune-7", "display_name": "Oplune 7", "provider": "norvane", "aliases": None},
+]
+U = C.UNMATCHED
+NAMES = [
+    ("veltra 1.5 Inp glbl Tokens", "veltra-1-5"),
+    ("ARBR PRO VLTR 1-5 cached input DZone Flex", "veltra-1-5-pro"),
+    ("Vel-tra v1.5 1120 Outp Rgnl btch (per 1K)", "veltra-1-5"),
+    ("vel tra 1p5 pro /1K tok", "veltra-1-5-pro"),
+    ("véltrá １.５ per thousand tokens glbl Inp", "veltra-1-5"),
+    ("evltra1.5 PP 1M Tokens", "veltra-1-5"),
+    ("Opalbadger Output regional", "veltra-1-5-pro"),
+    ("oplbdgr Inp", "veltra-1-5-pro"),
+    ("Preview_Oplune_7.0_Nano MTok", "oplune-7-nano-preview"),
+    ("Oplune-V7-Nno-pvw", "oplune-7-nano-preview"),
+    ("oplune 7 nano", U),
+    ("oplune 7 vision", U),
+    ("oplune 11", U),
+    ("oplune Inp glbl", U),
+    ("hollabex 7", U),
+    ("oplune veltra 7", U),
+    ("1.5 7 veltra", U),
+    ("Hosting Unit", U),
+    ("???", U),
+    ("", U),
+    ("   ", U),
+    ("x" * 5000, U),
+]
+
+
+def test_names(spark):
+    ref = spark.createDataFrame(ENTRIES, "canonical_id string, display_name string, provider string, aliases map<string,array<string>>")
+    data = [(i, n, "clash") for i, (n, _) in enumerate(NAMES)] + [(99, None, "null"), (100, NAMES[0][0], "again")]
+    rows = spark.createDataFrame(data, "row_id bigint, meter_name string, token string")
+    out = {r.row_id: r.canonical_id for r in C.map_names(rows, ref).collect()}
+    assert out == {i: w for i, (_, w) in enumerate(NAMES)} | {100: NAMES[0][1]}
+    assert {(r.meter_name, r.n) for r in C.unmatched(rows, C.map_names(rows, ref)).collect()} == {(n, 1) for n, w in NAMES if w == U}
+    assert C.map_names(rows.limit(0), ref).count() == 0
+    assert {r.canonical_id for r in C.map_names(rows, ref.limit(0)).collect()} == {U}
+
+
+@pytest.mark.parametrize("text, tokens", [("Veltra V1.5 per 1K Tokens", ["veltra", "#1.5"]), ("a-3-5 0314", ["a", "#3.5"]), ("a 1 b 2", ["a", "b", "#?"]), ("a 7.0", ["a", "#7"]), (None, []), ("4p5x", ["x", "#4.5"])])
+def test_tokens(text, tokens):
+    assert C.words_and_version(text) == tokens
+
+
+def one_edit(w):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    out = {w}
+    for i in range(len(w) + 1):
+        out |= {w[:i] + c + w[i:] for c in letters} | {w[:i] + c + w[i + 1 :] for c in letters if i < len(w)} | {w[:i] + w[i + 1 :]}
+        if i + 1 < len(w):
+            out.add(w[:i] + w[i + 1] + w[i] + w[i + 2 :])
+    return out
+
+
+def test_whole_table(spark):
+    entries = [r.asDict() for r in read(spark, SF, "model_aliases").collect()]
+    words, tokens = C.vocabulary(entries)
+    near = {}
+    for w, (k, v, repaired) in words.items():
+        if repaired and len(w) >= C.REPAIR_LENGTH:
+            for t in one_edit(w) - set(words):
+                near.setdefault(t, set()).add((k, v))
+    known = {w: (k, v, 1.0) for w, (k, v, _) in words.items()} | {t: (*next(iter(s)), 0.9) for t, s in near.items() if len(s) == 1}
+    by = {ts: i for i, ts in tokens.items()}
+    want = {}
+    for r in read(spark, SF, "azure_retail_prices").where("meter_name is not null").select("row_id", "meter_name").collect():
+        sig = C.signature(C.words_and_version(r.meter_name), known)
+        ts = frozenset(p.split("~")[0] for p in sig.split(" ")) if sig else frozenset()
+        want[r.row_id] = by.get(ts) or (next(iter(ts))[1:] if len(ts) == 1 and next(iter(ts))[0] == "@" else U)
+    out = {r.row_id: r.canonical_id for r in QUERIES["p1_found"](spark, SF).collect()}
+    assert out == want
