@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chronodiff.functions.dewey import nodes
 from chronodiff.operators.joins import skew_left_join
+from chronodiff.session import kept
 
 #: Objects of price lists whose member names are data.
 OFFER_MAPS = ["$.products", "$.terms", "$.terms.*", "$.terms.*.*", "$.terms.*.*.*.priceDimensions", "$.products.*.terms", "$.products[].terms", "$.products.*.terms.*", "$.products[].terms.*", "$.products.*.terms.*.*", "$.products[].terms.*.*",
@@ -39,7 +40,8 @@ def offer_nodes(offers: DataFrame) -> DataFrame:
     name in a keyed layout), a term by sku and code, a price by its rate code, else by its name. Nulls in place of
     objects aren't nodes. Rows repeated in a body are rows of the result.
     """
-    n = nodes(offers, "row_id", "body", OFFER_MAPS)
+    # Parsed once; the tables are views of the nodes.
+    n = kept(nodes(offers, "row_id", "body", OFFER_MAPS))
     f = lambda k: F.element_at("fields", F.lit(k))
     root = table(n, r"^\$$", "row_id", F.coalesce(f("offerCode"), F.lit("")).alias("offer_code"))
     products = table(n, _PRODUCT, "row_id", "label", F.coalesce(f("sku"), "name").alias("node_key"), "fields").where(F.col("node_key").isNotNull())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings a session needs for right results; sizes of partitions stay with the cluster.
@@ -45,3 +46,13 @@ def settle(df: DataFrame) -> DataFrame:
             shared = os.path.join(tempfile.gettempdir(), "chronodiff-checkpoints")
         spark.sparkContext.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed now, once, and kept on the executors' disks for the several uses that follow; parts that are lost are computed again.
+
+    Left to the first use, stages that run side by side would each compute it.
+    """
+    df = df.persist(StorageLevel.DISK_ONLY)
+    df.count()
+    return df
