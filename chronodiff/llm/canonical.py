@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronodiff.operators.joins import bounded, skew_left_join
+from chronodiff.session import kept
 
 UNMATCHED = "UNMATCHED"
 # Words of a meter's name that say nothing about the model (direction, scope, tier, unit).
@@ -200,17 +201,17 @@ def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name:
     worker; rows are never shuffled, only distinct tokens and distinct signatures are.
     """
     words, entries = vocabulary([r.asDict() for r in reference.select("canonical_id", "display_name", "provider", "aliases").collect()])
-    r = rows.where(F.col(name).isNotNull()).select(F.col(key).alias("_key"), _tokenised(F.col(name)).alias("_tokens"))
+    r = kept(rows.where(F.col(name).isNotNull()).select(F.col(key).alias("_key"), _tokenised(F.col(name)).alias("_tokens")))
     spans = F.concat("_w", F.transform(F.sequence(F.lit(0), F.size("_w") - 2), lambda i: F.concat(F.get("_w", i), F.get("_w", i + 1))))
     w = r.select(F.filter("_tokens", lambda t: ~t.startswith("#")).alias("_w"))
-    distinct = w.select(F.explode(F.when(F.size("_w") > 1, spans).otherwise(F.col("_w"))).alias("token")).distinct()
+    distinct = kept(w.select(F.explode(F.when(F.size("_w") > 1, spans).otherwise(F.col("_w"))).alias("token")).distinct())
     bound = sum(53 * len(x) + 26 for x in words)
     fixed = repairs(distinct, words).limit(bound + 1).collect()
     if len(fixed) > bound:
         raise ValueError("more repaired tokens than lie within one edit of the vocabulary")
     known = {x.token: (x.kind, x.value, x.sim) for x in fixed}
-    signed = r.select("_key", _signed(F.col("_tokens"), known).alias("signature"))
-    ranked = rank(signed.where(F.col("signature").isNotNull()).select("signature").distinct(), entries)
+    signed = kept(r.select("_key", _signed(F.col("_tokens"), known).alias("signature")))
+    ranked = kept(rank(signed.where(F.col("signature").isNotNull()).select("signature").distinct(), entries))
     small = bounded(ranked)
     joined = signed.join(small, "signature", "left") if small is not ranked else skew_left_join(signed, ranked, ["signature"])
     return joined.select(F.col("_key").alias(key), F.coalesce("canonical_id", F.lit(UNMATCHED)).alias("canonical_id"))
