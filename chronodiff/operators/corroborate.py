@@ -88,10 +88,10 @@ def family(event_type: Column) -> Column:
     return F.when(event_type.isin(AVAILABILITY), "availability").otherwise(event_type)
 
 
-def rows_in(changes: DataFrame) -> DataFrame:
+def rows_in(changes: DataFrame, *more: str) -> DataFrame:
     """Changes (event columns, observed_at, source_class, lineage, absence) in the columns that the step takes."""
     d = changes.withColumn("family", family(F.col("event_type"))).withColumn("at", F.unix_micros("observed_at"))
-    return d.select(*[F.col(c) for c in IN])
+    return d.select(*IN, *more)
 
 
 def clean(record: dict) -> dict:

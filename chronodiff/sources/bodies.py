@@ -41,8 +41,8 @@ def merged_pages(pages: DataFrame, run: list[str], page: str, body: str, most: i
 
 def tree_texts(spark, path: str) -> DataFrame:
     """(path, line, text) of a tree of JSON files (line null: the whole file) and JSONL files (numbered lines that aren't blank)."""
-    whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
-    lines = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path, wholetext=True)
     a = whole.select(F.col("_metadata.file_path").alias("path"), F.lit(None).cast("int").alias("line"), F.col("value").alias("text"))
     b = lines.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
     return a.unionByName(b.where(F.trim("text") != ""))

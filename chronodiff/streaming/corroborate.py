@@ -34,6 +34,5 @@ def dispatch_stream(changes: DataFrame, delay: str = "1 hour") -> DataFrame:
         state.setTimeoutTimestamp(max(end // 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["id", "action", "candidate", "source_id", "at"])
 
-    d = changes.withWatermark("observed_at", delay)
-    rows = rows_in(d)
+    rows = rows_in(changes.withWatermark("observed_at", delay), "observed_at")
     return rows.groupBy(*GROUP).applyInPandasWithState(run, OUT, "opened string", "append", GroupStateTimeout.EventTimeTimeout)
