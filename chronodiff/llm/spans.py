@@ -12,13 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronodiff.llm.fingerprints import Hashes, chunks, units
 from chronodiff.operators.joins import skew_left_join
+from chronodiff.session import kept
 
 LENGTH = 200
 GRAM = 100
@@ -90,10 +90,10 @@ def shared_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     digest before the shuffle, so that a passage in a third of all documents is one row a task. Texts are shuffled once
     for the units at the ends of spans, one representative of each digest.
     """
-    u = content_units(docs, length, gram).persist(StorageLevel.DISK_ONLY)
+    u = kept(content_units(docs, length, gram))
     # Most anchors occur in one document and are dropped before anything else shuffles.
     seen = u.groupBy("anchor").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).where(F.col("_l") != F.col("_h")).select("anchor", F.lit(True).alias("_seen"))
-    u = skew_left_join(u, seen, ["anchor"]).where(F.col("_seen")).drop("_seen").persist(StorageLevel.DISK_ONLY)
+    u = kept(skew_left_join(u, seen, ["anchor"]).where(F.col("_seen")).drop("_seen"))
     digests = u.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "first", "n")).alias("rep"))
     known = digests.join(digests.groupBy("anchor").agg(F.count(F.lit(1)).alias("_k")), "anchor")
     whole = known.where("_k = 1").select("d1", "d2", "low", F.lit(0).cast("bigint").alias("at"), F.col("rep.n").alias("m"))
@@ -101,7 +101,7 @@ def shared_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     # Units that have an anchor in common and differ: the windows of one representative of each are compared.
     mixed = known.where(F.col("_k") > 1)
     listed = mixed.groupBy(F.col("rep.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("rep.first").alias("first"), F.col("rep.n").alias("n"), "d1", "d2", "low", "high")).alias("parts"))
-    w = _windows(docs.select("doc_id", "text").join(listed, "doc_id").select("text", "parts"), length).persist(StorageLevel.DISK_ONLY)
+    w = kept(_windows(docs.select("doc_id", "text").join(listed, "doc_id").select("text", "parts"), length))
     hits = w.groupBy("w1", "w2").agg(F.min("low").alias("wl"), F.max("high").alias("wh")).where(F.col("wl") != F.col("wh"))
     some = w.join(hits, ["w1", "w2"]).select("d1", "d2", "at", "wl")
     # Consecutive windows of a unit become one stretch; a unit has at most length - gram + 1 windows that differ.
