@@ -96,8 +96,9 @@ def with_unit(df: DataFrame, unit: str, prefix: str) -> DataFrame:
 
 
 def unit_words(spark: SparkSession) -> DataFrame:
-    t = spark.createDataFrame(UNIT_WORDS, "word string, factor string, thing string")
-    return t.withColumn("factor", F.col("factor").cast("decimal(12,0)"))
+    """(word, factor, thing) as a local relation, which needs no job of its own."""
+    rows = ", ".join(f"('{w}', {f}, '{t}')" for w, f, t in UNIT_WORDS)
+    return spark.sql(f"SELECT word, CAST(factor AS DECIMAL(12, 0)) AS factor, thing FROM VALUES {rows} AS t(word, factor, thing)")
 
 
 def number_text(text: Column) -> Column:

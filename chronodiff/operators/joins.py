@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A side of at most so many rows is sent to every executor; beyond it the join shuffles.
@@ -18,21 +18,24 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """The keys of more than ``share`` of the rows of ``df``: at most ``1 / share`` rows. Counts are combined before the shuffle."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, counts: DataFrame | None = None) -> DataFrame:
+    """The keys of more than ``share`` of the rows of ``df``: at most ``1 / share`` rows. Counts are combined before the shuffle.
+
+    ``counts``: (keys, _n) if the rows of each key are counted already.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
     # An empty table has a null total and so no hot key.
     total = counts.agg(F.sum("_n").alias("_total"))
     return counts.crossJoin(F.broadcast(total)).where(F.col("_n") > F.col("_total") * share).select(*keys)
 
 
-def skew_left_join(left: DataFrame, right: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
+def skew_left_join(left: DataFrame, right: DataFrame, keys: list[str], share: float = HOT_SHARE, counts: DataFrame | None = None) -> DataFrame:
     """``left`` left-joined to ``right``, of which each key has one row.
 
     Rows of hot keys meet a broadcast copy of the few right rows of these keys (at most ``1 / share``); all others
-    shuffle. Null keys match nothing and stay. Columns: those of ``left``, then those of ``right`` without the keys.
+    shuffle. Null keys match nothing and stay. ``counts``: as for :func:`hot_keys`. Columns: those of ``left``, then those of ``right`` without the keys.
     """
-    hot = hot_keys(left.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys, share)
+    hot = hot_keys(left.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys, share, counts)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     tagged = left.join(hot, keys, "left")
     few = F.broadcast(right.join(hot.drop("_hot"), keys, "left_semi"))
@@ -41,13 +44,6 @@ def skew_left_join(left: DataFrame, right: DataFrame, keys: list[str], share: fl
     return a.unionByName(b)
 
 
-def literal_table(spark, rows: list[tuple], schema: str) -> DataFrame:
-    """A small fixed table, marked for broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
 
 
 def where_not_null(df: DataFrame, column: str) -> DataFrame:
