@@ -11,6 +11,7 @@ import base64
 import heapq
 import sys
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -191,6 +192,31 @@ class Encoder:
         ends = np.concatenate([[0], counts[: len(starts)]])
         return ids, ends[np.searchsorted(starts, begin)]
 
+    def encode_block(self, texts: list[str], size: int) -> tuple[list[int], np.ndarray]:
+        """As :meth:`encode`; a single text longer than twice ``size`` goes in parts, so that memory doesn't follow its length."""
+        if len(texts) != 1 or len(texts[0]) <= 2 * size:
+            return self.encode(texts)
+        ids = [i for p in parts(texts[0], size) for i in self.encode([p])[0]]
+        return ids, np.array([0, len(ids)])
+
+
+def parts(text: str, size: int) -> Iterator[str]:
+    """The text cut where pieces begin, into parts of about ``size`` characters; pieces of the parts are those of the text.
+
+    What begins a piece is decided by the characters before it and the two behind it, so the last few of a look aren't
+    trusted; nor is a cut behind a blank, as blanks at an end are one piece. A look without a usable start is taken longer.
+    """
+    a, look = 0, size
+    while len(text) - a > look:
+        starts = piece_starts([text[a : a + look]])[1]
+        cut = next((c for c in starts[: np.searchsorted(starts, look - 3)][::-1].tolist() if c == 0 or code_classes()[ord(text[a + c - 1])] != BLANKS), 0)
+        if cut:
+            yield text[a : a + cut]
+            a, look = a + cut, size
+        else:
+            look *= 2
+    yield text[a:]
+
 
 def decode(ids: list[int], words: dict[int, bytes]) -> str:
     return b"".join(words[i] for i in ids).decode("utf-8", "replace")

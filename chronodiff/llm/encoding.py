@@ -43,7 +43,7 @@ def blocks(texts: list[str], chars: int = BLOCK_CHARS) -> Iterator[list[str]]:
 def _encoded(enc: Encoder, column: pa.Array) -> pa.ListArray:
     values, offsets, base = [], [np.zeros(1, np.int64)], 0
     for part in blocks(pc.fill_null(column, "").to_pylist()):
-        ids, ends = enc.encode(part)
+        ids, ends = enc.encode_block(part, BLOCK_CHARS)
         values.append(np.array(ids, np.int32))
         offsets.append(ends[1:] + base)
         base += len(ids)
@@ -72,7 +72,7 @@ def sizes(docs: DataFrame, keys: list[str], text: str = "text", name: str = "byt
         for b in batches:
             counts = []
             for part in blocks(pc.fill_null(b.column(b.num_columns - 1), "").to_pylist()):
-                counts.append(np.diff(enc.encode(part)[1]))
+                counts.append(np.diff(enc.encode_block(part, BLOCK_CHARS)[1]))
             n = pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], n], names=[*b.schema.names[:-1], "n_tokens"])
 

@@ -50,6 +50,17 @@ def test_random_texts(own, public):
     assert own(texts) == public(texts)
 
 
+def test_long_texts_in_parts(public):
+    enc = bpe.Encoder(bpe.read_ranks(PATH))
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(" \n'srtvelmd.1é") for _ in range(3000)), "a" * 700 + " b" * 700, " " * 500, "x" + "'" * 900 + "ll", "word " * 300 + "\n" * 200 + "end"]
+    for t in texts:
+        for size in (5, 17, 64):
+            assert "".join(bpe.parts(t, size)) == t
+            ids, ends = enc.encode_block([t], size)
+            assert ids == public([t])[0] and ends.tolist() == [0, len(ids)]
+
+
 def test_scan_is_the_automaton():
     rng = np.random.default_rng(3)
     for n in (1, 127, 128, 129, 5000):
