@@ -76,6 +76,27 @@ WITH {_UNIT}, {_PROMPT}, {_counted("m")},
  j AS (SELECT coalesce(n.t, o.t) AS t, coalesce(n.feed_id, o.feed_id) AS feed_id, coalesce(n.k, o.k + 1) AS k, coalesce(n.id, o.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' WHEN n.v <> o.v THEN 'changed' END AS c
   FROM n FULL OUTER JOIN o ON n.t = o.t AND n.feed_id = o.feed_id AND n.k = o.k + 1 AND n.id = o.id)
 SELECT j.t AS record_table, s.snapshot_id, j.id AS record_id, j.c AS change FROM j JOIN s ON s.t = j.t AND s.feed_id = j.feed_id AND s.k = j.k WHERE j.c IS NOT NULL
+""",
+    "p3_found": """
+WITH b0 AS (SELECT row_id, ltrim(body, chr(65279)) AS t FROM bedrock_offers WHERE body IS NOT NULL),
+ b1 AS (SELECT row_id, CASE WHEN json_type(t) = 'VARCHAR' THEN t ->> '$' ELSE t END AS t FROM b0 WHERE json_valid(t)),
+ b AS (SELECT row_id, CAST(t AS JSON) AS j FROM b1 WHERE json_valid(t) AND json_type(t) = 'OBJECT'),
+ po AS (SELECT row_id, coalesce(j ->> '$.offerCode', '') AS offer, unnest(CASE json_type(j -> '$.products') WHEN 'OBJECT' THEN map_values(CAST(j -> '$.products' AS MAP(VARCHAR, JSON))) WHEN 'ARRAY' THEN CAST(j -> '$.products' AS JSON[]) ELSE [] END) AS p FROM b),
+ fe AS (SELECT row_id, p ->> '$.sku' AS sku, unnest(CASE WHEN json_type(p -> '$.features') = 'ARRAY' THEN CAST(p -> '$.features' AS JSON[]) ELSE [] END) AS f FROM po),
+ kinds AS (SELECT row_id, unnest(map_values(CAST(j -> '$.terms' AS MAP(VARCHAR, JSON)))) AS k FROM b WHERE json_type(j -> '$.terms') = 'OBJECT'),
+ skus AS (SELECT row_id, unnest(map_values(CAST(k AS MAP(VARCHAR, JSON)))) AS s FROM kinds),
+ inner_kinds AS (SELECT row_id, unnest(map_values(CAST(p -> '$.terms' AS MAP(VARCHAR, JSON)))) AS k FROM po WHERE json_type(p -> '$.terms') = 'OBJECT'),
+ t AS (SELECT row_id, unnest(map_values(CAST(s AS MAP(VARCHAR, JSON)))) AS t FROM skus
+  UNION ALL SELECT row_id, unnest(CAST(j -> '$.terms' AS JSON[])) FROM b WHERE json_type(j -> '$.terms') = 'ARRAY'
+  UNION ALL SELECT row_id, unnest(CAST(k AS JSON[])) FROM inner_kinds WHERE json_type(k) = 'ARRAY'),
+ tk AS (SELECT row_id, t, (t ->> '$.sku') AS sku, (t ->> '$.sku') || '.' || (t ->> '$.offerTermCode') AS key FROM t),
+ pr AS (SELECT row_id, key AS parent, unnest(map_entries(CAST(t -> '$.priceDimensions' AS MAP(VARCHAR, JSON)))) AS e FROM tk WHERE json_type(t -> '$.priceDimensions') = 'OBJECT'),
+ pa AS (SELECT row_id, key AS parent, unnest(CAST(t -> '$.priceDimensions' AS JSON[])) AS e FROM tk WHERE json_type(t -> '$.priceDimensions') = 'ARRAY')
+SELECT row_id, 'product' AS level, p ->> '$.sku' AS node_key, offer AS parent_key FROM po
+UNION ALL SELECT row_id, 'feature', f ->> '$.name', sku FROM fe
+UNION ALL SELECT row_id, 'term', key, sku FROM tk
+UNION ALL SELECT row_id, 'price', coalesce(e.value ->> '$.rateCode', e.key), parent FROM pr
+UNION ALL SELECT row_id, 'price', e ->> '$.rateCode', parent FROM pa
 """,
     "p4_found": """
 WITH e AS (SELECT id, arg_min(struct_pack(o := observed_at, l := landed_at, c := correction_of, ev := evidence), row(landed_at, row_id)) AS r FROM change_events WHERE id IS NOT NULL GROUP BY id),
@@ -85,6 +106,32 @@ WITH e AS (SELECT id, arg_min(struct_pack(o := observed_at, l := landed_at, c :=
  t AS (SELECT 'source_id' AS field, source_id AS key, added_at AS a, removed_at AS d FROM sources UNION ALL SELECT 'manifest_path', key, r.l, r.d FROM m UNION ALL SELECT 'correction_of', id, r.l, NULL FROM e),
  k AS (SELECT refs.*, CASE WHEN t.key IS NULL THEN 'missing' WHEN t.a > l THEN 'late' WHEN t.d <= l THEN 'deleted' END AS kind FROM refs LEFT JOIN t ON refs.field = t.field AND refs.key = t.key WHERE refs.key IS NOT NULL)
 SELECT id AS event_id, CAST(pos AS BIGINT) AS pos, field, strftime(o AT TIME ZONE 'UTC', '%Y-%m') AS period, kind FROM k WHERE kind IS NOT NULL
+""",
+    "p5_found": r"""
+WITH v AS (SELECT 'openrouter_models' AS t, row_id, 0 AS pos, source_id, created AS x FROM openrouter_models UNION ALL SELECT 'statuspage_incidents', row_id, 0, source_id, created_at FROM statuspage_incidents
+  UNION ALL SELECT 'azure_retail_prices', row_id, 0, source_id, effective_start_date FROM azure_retail_prices
+  UNION ALL SELECT 'change_events', row_id, pos, e.source_id, e.fetched_at FROM (SELECT row_id, unnest(evidence) AS e, generate_subscripts(evidence, 1) - 1 AS pos FROM change_events)),
+ s AS (SELECT v.t, v.row_id, v.pos, coalesce(sources.zone, 'UTC') AS zone, coalesce(date_order, 'mdy') AS o, upper(trim(x, E' \t\n')) AS x FROM v LEFT JOIN sources USING (source_id) WHERE x IS NOT NULL),
+ f AS (SELECT *, regexp_extract(x, '^(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2})[:-]?(\d{2})(?:[:-]?(\d{2})(?:\.(\d+))?)?\s*(.*))?$', ['y', 'm', 'd', 'h', 'i', 's', 'f', 'z']) AS a,
+  regexp_extract(x, '^(\d{1,2})[/.](\d{1,2})[/.](\d{4})(?: (\d{1,2}):(\d{2})(?::(\d{2}))?(?: (AM|PM))?)?$', ['p', 'q', 'y', 'h', 'i', 's', 'ap']) AS b,
+  regexp_extract(x, '^(?:[A-Z]{3}, )?(\d{1,2}) ([A-Z]{3})[A-Z]* (\d{4}),? (\d{2}):(\d{2}):(\d{2}) (.*)$', ['d', 'm', 'y', 'h', 'i', 's', 'z']) AS c,
+  regexp_extract(x, '^([A-Z]{3}) (\d{1,2}), (\d{4}) (\d{1,2}):(\d{2}) (AM|PM) (.*)$', ['m', 'd', 'y', 'h', 'i', 'ap', 'z']) AS e FROM s),
+ p AS (SELECT t, row_id, pos, zone, CASE WHEN regexp_matches(x, '^\d+(\.\d+)?$') THEN TRY_CAST(x AS DECIMAL(30, 6)) END AS n,
+  CASE WHEN a.y <> '' THEN a.y || '-' || a.m || '-' || a.d WHEN b.y <> '' THEN b.y || '-' || CASE WHEN o = 'dmy' THEN b.q || '-' || b.p ELSE b.p || '-' || b.q END
+   WHEN c.y <> '' THEN c.y || '-' || CAST((strpos('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', c.m) + 2) // 3 AS VARCHAR) || '-' || c.d WHEN e.y <> '' THEN e.y || '-' || CAST((strpos('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', e.m) + 2) // 3 AS VARCHAR) || '-' || e.d END AS d,
+  CASE WHEN a.y <> '' THEN TRY_CAST(nullif(a.h, '') AS INT) WHEN b.y <> '' THEN CASE WHEN b.ap = '' THEN TRY_CAST(nullif(b.h, '') AS INT) ELSE TRY_CAST(b.h AS INT) % 12 + CASE b.ap WHEN 'PM' THEN 12 ELSE 0 END END
+   WHEN c.y <> '' THEN TRY_CAST(c.h AS INT) WHEN e.y <> '' THEN TRY_CAST(e.h AS INT) % 12 + CASE e.ap WHEN 'PM' THEN 12 ELSE 0 END END AS h,
+  TRY_CAST(nullif(coalesce(nullif(a.i, ''), nullif(b.i, ''), nullif(c.i, ''), nullif(e.i, '')), '') AS INT) AS i, TRY_CAST(coalesce(nullif(a.s, ''), nullif(b.s, ''), nullif(c.s, '')) AS INT) AS sec,
+  TRY_CAST(rpad(substr(a.f, 1, 6), 6, '0') AS INT) AS us, coalesce(nullif(a.z, ''), nullif(c.z, ''), nullif(e.z, ''), '') AS z FROM f),
+ l AS (SELECT *, TRY_CAST(d AS DATE) AS dd, regexp_replace(z, '[\[\]]', '', 'g') AS zz FROM p),
+ k AS (SELECT t, row_id, pos, n, CASE WHEN coalesce(h, 0) < 24 AND coalesce(i, 0) < 60 AND coalesce(sec, 0) < 60 THEN CAST(dd AS TIMESTAMP) + to_hours(coalesce(h, 0)) + to_minutes(coalesce(i, 0)) + to_seconds(coalesce(sec, 0)) + to_microseconds(coalesce(us, 0)) END AS lo,
+  CASE WHEN zz = '' THEN zone WHEN contains(zz, '/') THEN (SELECT min(name) FROM pg_timezone_names() WHERE upper(name) = zz) END AS place,
+  CASE WHEN regexp_matches(zz, '^[+-]') THEN CASE WHEN zz[1] = '-' THEN -1 ELSE 1 END * (TRY_CAST(zz[2:3] AS INT) * 60 + coalesce(TRY_CAST(nullif(right(replace(zz, ':', ''), -3), '') AS INT), 0))
+   ELSE 60 * CASE zz WHEN 'Z' THEN 0 WHEN 'UTC' THEN 0 WHEN 'GMT' THEN 0 WHEN 'PST' THEN -8 WHEN 'PDT' THEN -7 WHEN 'EST' THEN -5 WHEN 'EDT' THEN -4 WHEN 'CET' THEN 1 WHEN 'CEST' THEN 2 WHEN 'JST' THEN 9 END END AS off FROM l),
+ r AS (SELECT t, row_id, pos, CASE WHEN n IS NOT NULL THEN CAST(floor(n * CASE WHEN n < 100000000000 THEN 1000000 WHEN n < 100000000000000 THEN 1000 ELSE 1 END) AS BIGINT)
+  WHEN place IS NOT NULL THEN CASE WHEN (lo AT TIME ZONE place) AT TIME ZONE place = lo THEN least(epoch_us(lo AT TIME ZONE place), CASE WHEN ((lo AT TIME ZONE place) - INTERVAL 1 HOUR) AT TIME ZONE place = lo THEN epoch_us(lo AT TIME ZONE place) - 3600000000 ELSE epoch_us(lo AT TIME ZONE place) END) END
+  ELSE epoch_us(lo) - CAST(off AS BIGINT) * 60000000 END AS us FROM k)
+SELECT t AS record_table, row_id, CAST(pos AS BIGINT) AS pos, us AS epoch_us FROM r WHERE us IS NOT NULL
 """,
     "p6_found": f"""
 WITH {_UNIT}, {_AZURE}, {_PROMPT}, b AS (SELECT 'azure_retail_prices' AS tb, * FROM a UNION ALL SELECT 'openrouter_models', * FROM m),
@@ -252,3 +299,5 @@ WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), E'\n')) AS t,
 SELECT doc_id, n, CASE WHEN k > 1 THEN name || '-' || k ELSE name END AS name, CAST(chars AS BIGINT) AS chars FROM i
 """,
 }
+
+ORACLE["p4_report"] = f"SELECT field, period, kind, count(*) AS n FROM ({ORACLE['p4_found']}) GROUP BY ALL"
