@@ -14,8 +14,9 @@ from chronodiff.functions import amounts as A
 
 
 def row_hash(*columns: Column) -> Column:
-    """One hash of canonical values; null is a value of its own."""
-    return F.sha2(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"}), 256)
+    """One hash of canonical values, 128 bits as 16 bytes; null is a value of its own."""
+    text = F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"})
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
 def snapshot_changes(rows: DataFrame, series: list[str], snapshot: str, run_ts: str, key: str, landed: list[str], state: Column) -> DataFrame:
@@ -30,11 +31,12 @@ def snapshot_changes(rows: DataFrame, series: list[str], snapshot: str, run_ts:
     """
     r = rows.select(*series, F.col(snapshot).alias("_snap"), F.col(run_ts).alias("_run"), F.col(key).alias("_key"),
                     F.struct(*[F.col(c) for c in landed]).alias("_landed"), state.alias("_state"))
-    last = r.groupBy(*series, "_snap", "_key").agg(F.max_by("_state", "_landed").alias("_state"), F.max("_run").alias("_run"))
-    snaps = last.groupBy(*series, "_snap").agg(F.max("_run").alias("_run"))
+    last = r.groupBy(*series, "_snap", "_key").agg(F.max_by("_state", "_landed").alias("_state"))
+    # From the rows themselves, in a scan of its own without what makes the state: combined before it shuffles.
+    snaps = rows.groupBy(*series, F.col(snapshot).alias("_snap")).agg(F.max(run_ts).alias("_run"))
     order = W.partitionBy(*series).orderBy("_run", "_snap")
     snaps = snaps.select(*series, "_snap", F.lag("_snap").over(order).alias("_before"), F.lead("_snap").over(order).alias("_after"))
-    at = last.drop("_run").join(snaps, [*series, "_snap"])
+    at = last.join(snaps, [*series, "_snap"])
     new = at.where(F.col("_before").isNotNull()).select(*series, "_snap", "_key", F.col("_state").alias("_new"), F.lit(True).alias("_in_new"))
     old = at.where(F.col("_after").isNotNull()).select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(series)], F.col("_after").alias("_osnap"),
                                                        F.col("_key").alias("_okey"), F.col("_state").alias("_old"), F.lit(True).alias("_in_old"))
