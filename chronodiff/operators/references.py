@@ -21,7 +21,10 @@ def first_delivery(df: DataFrame, key: str, keep: list[str]) -> DataFrame:
 
 def references(events: DataFrame) -> DataFrame:
     """(event_id, pos, field, target_table, key, period, landed_at): one row per reference that isn't null."""
-    first = first_delivery(events.where(F.col("id").isNotNull()), "id", ["observed_at", "landed_at", "correction_of", "evidence"])
+    # Only the two cited fields are read and moved, not the whole evidence.
+    cited = F.arrays_zip(F.col("evidence.source_id").alias("source_id"), F.col("evidence.manifest_path").alias("manifest_path"))
+    slim = events.where(F.col("id").isNotNull()).select("id", "row_id", "observed_at", "landed_at", "correction_of", cited.alias("evidence"))
+    first = first_delivery(slim, "id", ["observed_at", "landed_at", "correction_of", "evidence"])
     base = [F.col("id").alias("event_id"), F.date_format("observed_at", "yyyy-MM").alias("period"), "landed_at"]
     ev = first.select(*base, F.posexplode("evidence").alias("pos", "e"))
     fields = F.array(
