@@ -96,28 +96,30 @@ def test_changes_of_odd_rows(spark):
     assert changes(spark, []) == set()
 
 
-@pytest.mark.parametrize(
-    "text, value",
-    [("0.0000025", 2500000), ("1e-05", 10000000), ("$2.5/M", 2500000), ("$ 0.003 / thousand tokens", 3000000), ("2,1867 USD je 1 Mio. Tokens", 2186700), ("125¢ / 1M tokens", 1250000), ("0.5 cents per 1K", 5000000), ("USD 3.00 per 1M", 3000000),
-     ("0,00 $ / 1M Tokens", 0), ("0", 0), ("-1", None), ("", None), ("  ", None), (None, None), ("3 EUR per 1M", None), ("$1,234.50 per million tokens", 1234500000), ("free", None), ("$3 per image", None)],
-)
-def test_price_texts(spark, text, value):
-    d = amounts.with_price_text(spark.createDataFrame([(text,)], "p string"), "p", "usd")
-    assert [r[0] for r in d.select(units.micro(F.col("usd"))).collect()] == [value]
-
-
-@pytest.mark.parametrize(
-    "unit, name, price, currency, value",
-    [("1K", None, 0.003, "USD", 3000000), ("10^6 tokens", "x", 2.5, "usd", 2500000), ("1,000,000", "x", 2.5, "USD", 2500000), ("¢ per 1K tokens", "x", 0.3, "USD", 3000000), ("US cents / 1M tokens", "x", 250.0, "USD", 2500000),
+PRICE_TEXTS = [
+    *[("0.0000025", 2500000), ("1e-05", 10000000), ("$2.5/M", 2500000), ("$ 0.003 / thousand tokens", 3000000), ("2,1867 USD je 1 Mio. Tokens", 2186700), ("125¢ / 1M tokens", 1250000), ("0.5 cents per 1K", 5000000), ("USD 3.00 per 1M", 3000000),
+     ("0,00 $ / 1M Tokens", 0), ("0", 0), ("-1", None), ("", None), ("  ", None), (None, None), ("3 EUR per 1M", None), ("$1,234.50 per million tokens", 1234500000), ("free", None), ("$3 per image", None)]
+]
+UNIT_TEXTS = [
+    *[("1K", None, 0.003, "USD", 3000000), ("10^6 tokens", "x", 2.5, "usd", 2500000), ("1,000,000", "x", 2.5, "USD", 2500000), ("¢ per 1K tokens", "x", 0.3, "USD", 3000000), ("US cents / 1M tokens", "x", 250.0, "USD", 2500000),
      ("0.5M", "x", 1.0, "USD", 2000000), ("token", "x", 0.0, "USD", 0), ("1", "x", 1e-6, "USD", 1000000), ("1/Month", "x 1K Tokens", 1.0, "USD", None), ("1M Characters", "x", 1.0, "USD", None), ("1 GB", "x", 1.0, "USD", None),
      ("N/A", "Veltra 7 MTok", 2.5, "USD", 2500000), (None, "a per thousand tokens glbl", 0.001, "USD", 1000000), (" ", "a (per 1M)", 4.0, "USD", 4000000), (None, "Veltra 7 Tokens", 1.0, "USD", None), (None, None, 1.0, "USD", None),
-     ("1K", "x", None, "USD", None), ("1K", "x", 1.0, "EUR", None), ("1K", "x", 1.0, None, None), ("1K", "x", float("nan"), "USD", None)],
-)
-def test_unit_texts(spark, unit, name, price, currency, value):
-    d = spark.createDataFrame([(unit, name, price, currency, "kept")], "u string, n string, p double, c string, _q_tokens string")
+     ("1K", "x", None, "USD", None), ("1K", "x", 1.0, "EUR", None), ("1K", "x", 1.0, None, None), ("1K", "x", float("nan"), "USD", None)]
+]
+
+
+def test_price_texts(spark):
+    d = amounts.with_price_text(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PRICE_TEXTS)], "i int, p string"), "p", "usd")
+    out = {PRICE_TEXTS[r.i]: r.v for r in d.select("i", units.micro(F.col("usd")).alias("v")).collect()}
+    assert out == {x: x[1] for x in PRICE_TEXTS}
+
+
+def test_unit_texts(spark):
+    d = spark.createDataFrame([(*x[:4], i) for i, x in enumerate(UNIT_TEXTS)], "u string, n string, p double, c string, _q_tokens int")
     out = units.token_prices(d, "p", "u", "n", "c")
     assert out.columns == ["u", "n", "p", "c", "_q_tokens", "usd_per_mtok"]
-    assert [r[0] for r in out.select(units.micro(F.col("usd_per_mtok"))).collect()] == [value]
+    got = {r[0]: r.v for r in out.select("_q_tokens", units.micro(F.col("usd_per_mtok")).alias("v")).collect()}
+    assert got == {i: x[4] for i, x in enumerate(UNIT_TEXTS)}
 
 
 INSTANTS = [
