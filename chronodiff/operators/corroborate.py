@@ -19,7 +19,7 @@ from chronodiff.operators.events import ATTACH_HOURS, DAMP_HOURS, DAMP_STATUS_HO
 
 HOUR = 3_600_000_000
 GROUP = ["provider", "model", "field_path", "family"]
-IN = ["id", "event_type", "old", "new", "hash8", "inverse8", "at", "source_id", "source_class", "lineage", "absence", *GROUP]
+IN = ["id", "event_type", "old", "new", "hash8", "inverse8", "at", "source_id", "sources", "absence", *GROUP]
 OUT = "id string, action string, candidate string, source_id string, at bigint"
 AVAILABILITY = ["model.released", "model.deprecated", "model.retired"]
 #: Classes of sources whose statement confirms that something is gone.
@@ -50,17 +50,21 @@ def step(opened: list[Open], c: dict) -> tuple[str, str | None]:
     opened[:] = [o for o in opened if c["at"] - o.at < ATTACH_HOURS * HOUR]
     seen = [o for o in opened if o.at <= c["at"]]
     last = lambda ok: next((o for o in reversed(seen) if ok(o)), None)
-    who = (c["source_class"], c["lineage"])
+
+    def note(o: Open) -> None:
+        for s, *who in c["sources"]:
+            if s is not None:
+                o.sources.setdefault(s, tuple(who))
 
     def attach(o: Open) -> tuple[str, str]:
         known = list(o.sources.values())
+        novel = [who for s, *who in c["sources"] if s not in o.sources]
+        note(o)
         if o.flapped:
-            o.sources.setdefault(c["source_id"], who)
             return "flap", o.id
-        if c["source_id"] in o.sources:
+        if not novel:
             return "already", o.id
-        o.sources[c["source_id"]] = who
-        good = any(independent(who, k) for k in known) and (not o.absence or who[0] in POSITIVE)
+        good = any(independent(who, k) for who in novel for k in known if not o.absence or who[0] in POSITIVE)
         return ("corroborated" if good else "mirror"), o.id
 
     if o := last(lambda o: o.hash8 == c["hash8"]):
@@ -69,15 +73,16 @@ def step(opened: list[Open], c: dict) -> tuple[str, str | None]:
         hours = DAMP_STATUS_HOURS if o.event_type.startswith(("outage.", "degradation.")) else DAMP_HOURS
         if c["at"] - o.at < hours * HOUR:
             action, o.flapped = ("flap" if o.flapped else "rollback"), True
-            o.sources.setdefault(c["source_id"], who)
+            note(o)
             return action, o.id
     if o := last(lambda o: o.event_type == c["event_type"]):
         if c["old"] != o.new:
             if c["new"] == o.new:
                 return attach(o)
-            o.sources.setdefault(c["source_id"], who)
+            note(o)
             return "discrepancy", o.id
-    new = Open(c["id"], c["event_type"], c["at"], c["old"], c["new"], c["hash8"], bool(c["absence"]), {c["source_id"]: who})
+    new = Open(c["id"], c["event_type"], c["at"], c["old"], c["new"], c["hash8"], bool(c["absence"]))
+    note(new)
     opened.append(new)
     opened.sort(key=lambda o: o.at)
     return "mint", None
@@ -89,13 +94,20 @@ def family(event_type: Column) -> Column:
 
 
 def rows_in(changes: DataFrame, *more: str) -> DataFrame:
-    """Changes (event columns, observed_at, source_class, lineage, absence) in the columns that the step takes."""
-    d = changes.withColumn("family", family(F.col("event_type"))).withColumn("at", F.unix_micros("observed_at"))
+    """Changes (event columns, observed_at, source_id, absence) in the columns that the step takes.
+
+    ``sources`` are all sources of a change, structs of source_id, source_class and lineage; without that column its one
+    source is that of the columns of these names. A source without id is never known, so it is new each time.
+    """
+    each = F.col("sources") if "sources" in changes.columns else F.array(F.struct("source_id", "source_class", "lineage"))
+    lists = F.transform(each, lambda s: F.array(s["source_id"], s["source_class"], s["lineage"]))
+    d = changes.withColumn("sources", F.to_json(lists, {"ignoreNullFields": "false"})).withColumn("family", family(F.col("event_type"))).withColumn("at", F.unix_micros("observed_at"))
     return d.select(*IN, *more)
 
 
 def clean(record: dict) -> dict:
-    return {k: None if v is None or v != v else v for k, v in record.items()}
+    r = {k: None if v is None or v != v else v for k, v in record.items()}
+    return {**r, "sources": json.loads(r["sources"] or "[]")}
 
 
 def dispatch(changes: DataFrame, stored: DataFrame | None = None) -> DataFrame:

@@ -115,3 +115,16 @@ def with_traits(items: DataFrame, source: str, sources: DataFrame) -> DataFrame:
     """Items with ``trait``, null for an unknown source."""
     t = sources.select(F.col("source_id").alias(source), F.struct("source_class", lineage(F.col("source_class"), F.col("lineage"), F.lit(False)).alias("lineage")).alias("trait"))
     return items.join(F.broadcast(t), source, "left")
+
+
+def with_sources(items: DataFrame, key: list[str], ids: str, order: list[str], sources: DataFrame) -> DataFrame:
+    """One row per ``key``, the first in ``order``, with the ``sources`` of all its rows: structs (source_id, source_class, lineage).
+
+    ``ids`` is an array of source ids; each different one counts once, one that isn't listed has no class and lineage.
+    ``source_id`` becomes the first of the first row.
+    """
+    each = with_traits(items.select("*", F.posexplode_outer(ids).alias("_pos", "source_id")).drop(ids), "source_id", sources)
+    one = F.when(F.col("_pos").isNotNull(), F.struct("source_id", "trait.source_class", "trait.lineage"))
+    rest = [c for c in each.columns if c not in (*key, "_pos", "trait")]
+    g = each.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order, "_pos")).alias("_r"), F.sort_array(F.collect_set(one)).alias("sources"))
+    return g.select(*key, "_r.*", "sources")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chronodiff.functions import identity as I
 from chronodiff.functions import urls as U
-from chronodiff.operators import corroborate, diff, events, fold, guards, integrity, watch
+from chronodiff.operators import corroborate, diff, events, fold, guards, integrity, references, watch
 from chronodiff.sources import normalize, pages, registry, store
 
 
@@ -304,11 +304,12 @@ def section_names(spark, d):
 
 
 def corroborate_batch(spark, d):
-    e = _read(spark, d, "change_events").dropDuplicates(["id"]).withColumn("source_id", F.get("evidence", F.lit(0))["source_id"])
-    x = e.select("provider", F.col("model_id").alias("model"), "event_type", F.lit("models[].id").alias("field_path"), F.when(F.col("event_type") == "model.deprecated", F.col("model_id")).alias("old"), F.when(F.col("event_type") != "model.deprecated", F.col("model_id")).alias("new"), "observed_at", "source_id", F.lit(False).alias("absence"), F.col("id").alias("_id"))
+    cols = ["row_id", "landed_at", "provider", "model_id", "event_type", "observed_at", "source_ids"]
+    e = _read(spark, d, "change_events").withColumn("source_ids", F.col("evidence.source_id"))
+    e = references.first_delivery(e, "id", cols)
+    x = e.select("row_id", "landed_at", "provider", F.col("model_id").alias("model"), "event_type", F.lit("models[].id").alias("field_path"), F.when(F.col("event_type") == "model.deprecated", F.col("model_id")).alias("old"), F.when(F.col("event_type") != "model.deprecated", F.col("model_id")).alias("new"), "observed_at", "source_ids", F.lit(False).alias("absence"))
     good, _ = events.mint(x)
-    t = events.with_traits(good, "source_id", _read(spark, d, "sources"))
-    return corroborate.dispatch(t.select("*", "trait.source_class", "trait.lineage"))
+    return corroborate.dispatch(events.with_sources(good, ["id"], "source_ids", ["landed_at", "row_id"], _read(spark, d, "sources")))
 
 
 REFERENCE: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chronodiff.operators import corroborate as C
 from chronodiff.operators import diff, events, fold, guards, integrity, watch
+from chronodiff.plans.reference_queries import REFERENCE as QUERIES
 from chronodiff.streaming.corroborate import dispatch_stream
 
 T0 = dt.datetime(2026, 7, 1, 6, tzinfo=dt.UTC)
@@ -140,6 +141,30 @@ def test_dispatch_as_stream(spark, tmp_path):
     assert {(r.id, r.source_id, r.at): (r.action, r.candidate) for r in spark.table("dispatched").collect()} == batch
 
 
+LISTED = [("docs", "provider-docs", "provider-primary"), ("api", "official-api", "provider-primary"), ("agg", "third-party-aggregator", "third-party-aggregator")]
+
+
+def corroborated(spark, path, rows):
+    """Actions by (hour, source) of change events (row_id, id, model, hour, landed hour, evidence sources)."""
+    spark.createDataFrame(LISTED, "source_id string, source_class string, lineage string").write.parquet(f"{path}/sources.parquet")
+    e = spark.createDataFrame([(r, i, "x", m, "model.released", h(at), h(landed), [(s,) for s in ids]) for r, i, m, at, landed, ids in rows],
+                              "row_id bigint, id string, provider string, model_id string, event_type string, observed_at timestamp, landed_at timestamp, evidence array<struct<source_id string>>")
+    e.write.parquet(f"{path}/change_events.parquet")
+    out = QUERIES["corroborate_batch"](spark, str(path)).collect()
+    return sorted(((r.at - int(T0.timestamp() * 1e6)) // 3_600_000_000, r.source_id, r.action) for r in out)
+
+
+def test_dispatch_knows_all_cited_sources(spark, tmp_path):
+    a = [(1, "e1", "a", 0, 0, ["docs", "agg"]), (2, "e2", "a", 30, 30, ["agg"])]  # the second source is known
+    b = [(3, "e3", "b", 1, 0, ["agg"]), (4, "e4", "b", 31, 31, ["docs", "api"])]  # the second one is independent
+    c = [(5, "e5", "c", 2, 0, [None, "docs"]), (6, "e6", "c", 32, 32, ["unlisted", "api"])]
+    d = [(7, "e7", "d", 3, 3, ["docs"]), (8, "e7", "d", 3, 2, ["docs", "agg"]), (9, "e7", "d", 3, 4, ["api"]), (10, "e8", "d", 33, 33, ["agg"])]  # the first delivery counts
+    e = [(11, "e9", "e", 4, 4, []), (12, "e10", "e", 34, 34, [None]), (13, "e11", "e", 58, 58, [])]
+    want = [(0, "docs", "mint"), (30, "agg", "already"), (1, "agg", "mint"), (31, "docs", "corroborated"), (2, None, "mint"), (32, "unlisted", "corroborated"),
+            (3, "docs", "mint"), (33, "agg", "already"), (4, None, "mint"), (34, None, "mirror"), (58, None, "already")]
+    assert corroborated(spark, tmp_path, a + b + c + d + e) == sorted(want)
+
+
 def test_state_round_trip():
     opened = [C.Open("a", "t", 1, None, "x", "h", True, {"s": ("c", "l")}, True)]
     assert C.load(C.dump(opened)) == opened
