@@ -32,11 +32,11 @@ def damping_hours(event_type: Column) -> Column:
     return F.when(event_type.rlike(r"^(outage|degradation)\."), DAMP_STATUS_HOURS).otherwise(DAMP_HOURS)
 
 
-def mint(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(events, exceptions) of deltas (provider, model, event_type, field_path, old, new, observed_at, ...).
+def identified(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(observations, exceptions) of deltas (provider, model, event_type, field_path, old, new, observed_at, ...).
 
-    A delta with a type, a provider and a model (or one that needs none, an outage) becomes an event, one per id; the
-    others are exceptions with a reason. Events have ``id``, ``hash8``, ``inverse8`` (of the change that undoes it).
+    A delta with a type, a provider and a model (or one that needs none, an outage) has an event id; the others are
+    exceptions with a reason. Observations have ``id``, ``hash8``, ``inverse8`` (of the change that undoes it).
     """
     reason = F.when(F.col("event_type").isNull(), "unclassified").when(F.col("provider").isNull(), "provider-unmapped").when(F.col("model").isNull() & ~F.col("event_type").startswith("outage."), "alias-unmapped")
     d = deltas.withColumn("reason", reason)
@@ -45,9 +45,15 @@ def mint(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
     inverse = I.key_text(F.col("provider"), F.col("model"), reversed_type(F.col("event_type")), F.col("field_path"), new, old)
     good = d.where(F.col("reason").isNull()).drop("reason")
     good = good.withColumns({"id": I.event_id(key, F.col("observed_at")), "hash8": I.hash8(key), "inverse8": I.hash8(inverse)})
+    return good, d.where(F.col("reason").isNotNull())
+
+
+def mint(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events, exceptions) as of :func:`identified`, but one event per id: the first observed."""
+    good, bad = identified(deltas)
     rest = [c for c in good.columns if c != "id"]
     one = good.groupBy("id").agg(F.min_by(F.struct(*rest), F.struct("observed_at")).alias("_r")).select("id", "_r.*")
-    return one, d.where(F.col("reason").isNotNull())
+    return one, bad
 
 
 def summary(text: Column, most: int = 280) -> Column:

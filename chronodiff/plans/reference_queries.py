@@ -308,8 +308,9 @@ def corroborate_batch(spark, d):
     e = _read(spark, d, "change_events").withColumn("source_ids", F.col("evidence.source_id"))
     e = references.first_delivery(e, "id", cols)
     x = e.select("row_id", "landed_at", "provider", F.col("model_id").alias("model"), "event_type", F.lit("models[].id").alias("field_path"), F.when(F.col("event_type") == "model.deprecated", F.col("model_id")).alias("old"), F.when(F.col("event_type") != "model.deprecated", F.col("model_id")).alias("new"), "observed_at", "source_ids", F.lit(False).alias("absence"))
-    good, _ = events.mint(x)
-    return corroborate.dispatch(events.with_sources(good, ["id"], "source_ids", ["landed_at", "row_id"], _read(spark, d, "sources")))
+    # Each observation is dispatched at its own time; those of one change at one instant are one, with the sources of all.
+    good, _ = events.identified(x)
+    return corroborate.dispatch(events.with_sources(good, ["id", "observed_at"], "source_ids", ["landed_at", "row_id"], _read(spark, d, "sources")))
 
 
 REFERENCE: dict[str, Callable[[SparkSession, str], DataFrame]] = {

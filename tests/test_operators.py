@@ -165,6 +165,13 @@ def test_dispatch_knows_all_cited_sources(spark, tmp_path):
     assert corroborated(spark, tmp_path, a + b + c + d + e) == sorted(want)
 
 
+def test_dispatch_takes_each_observation_of_a_day(spark, tmp_path):
+    a = [(1, "e1", "a", 0, 0, ["agg"]), (2, "e2", "a", 5, 5, ["docs"]), (3, "e3", "a", 9, 9, ["api"]), (4, "e4", "a", 10, 10, ["agg", "api"]), (5, "e5", "a", 24, 24, ["docs"])]
+    b = [(6, "e6", "b", 1, 2, ["docs"]), (7, "e7", "b", 1, 1, ["agg"]), (8, "e8", "b", 25, 25, ["docs"])]  # two at one instant are united
+    want = [(0, "agg", "mint"), (5, "docs", "mirror"), (9, "api", "corroborated"), (10, "agg", "already"), (24, "docs", "already"), (1, "agg", "mint"), (25, "docs", "already")]
+    assert corroborated(spark, tmp_path, a + b) == sorted(want)
+
+
 def test_state_round_trip():
     opened = [C.Open("a", "t", 1, None, "x", "h", True, {"s": ("c", "l")}, True)]
     assert C.load(C.dump(opened)) == opened
