@@ -8,20 +8,23 @@ each source is less than one block away from its share.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronodiff.llm.encoding import sizes
-from chronodiff.operators.joins import bounded
+from chronodiff.operators.joins import BROADCAST_ROWS, bounded
 
 #: Tokens of a block.
 BLOCK = 2048
-#: Slots after which a schedule repeats at the latest; shares are kept to one part in so many.
-CYCLE = 10_000
+#: Slots that a worker hands on at once.
+BATCH = 10_000
 #: Documents of one piece of a source's order.
 PIECE = 20_000
 
@@ -38,26 +41,31 @@ def shares(weights: list[float], slots: int) -> list[int]:
 
 def schedule(blocks: list[int]) -> list[tuple[int, int]]:
     """[(source, its block)] of each slot: earliest deadline first among the released blocks, ties to the earlier source."""
+    return list(turns(blocks))
+
+
+def turns(blocks: list[int]) -> Iterator[tuple[int, int]]:
+    """:func:`schedule` one slot at a time; one block of each source is kept in memory."""
     n = sum(blocks)
     release = lambda i, k: k * n // blocks[i]
     due = lambda i, k: -(-(k + 1) * n // blocks[i])
     waiting = [(0, i, 0) for i, b in enumerate(blocks) if b]
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []
-    out = []
     for slot in range(n):
         while waiting and waiting[0][0] <= slot:
             _, i, k = heapq.heappop(waiting)
             heapq.heappush(ready, (due(i, k), i, k))
         _, i, k = heapq.heappop(ready)
-        out.append((i, k))
+        yield i, k
         if k + 1 < blocks[i]:
             heapq.heappush(waiting, (release(i, k + 1), i, k + 1))
-    return out
 
 
-def plan(targets: list[dict], available: dict[str, int], block: int = BLOCK, cycle: int = CYCLE, total: int | None = None) -> tuple[list[dict], list[dict]]:
-    """(one row per mix and source, one row per slot of each mix's cycle), from the tokens each source has.
+def plan(targets: list[dict], available: dict[str, int], block: int = BLOCK, total: int | None = None) -> tuple[list[dict], Iterator[dict]]:
+    """(one row per mix and source, one row per slot of each mix, made as they are taken), from the tokens each source has.
+
+    A source has as many blocks as its quota begins, so each with a quota has one, and none is beyond the schedule.
 
     Without ``total`` a mix is as large as it can be with every source that has tokens exactly at its share, those
     without a cap repeated as often as that takes; if no source is capped each is taken once at most. With ``total`` a
@@ -74,7 +82,7 @@ def plan(targets: list[dict], available: dict[str, int], block: int = BLOCK, cyc
         new = (w, float("inf") if cap is None else float(max(cap, 0)))
         mix = per_mix.setdefault(t["mix_id"], {})
         mix[t["source"]] = max(mix.get(t["source"], new), new)
-    rows, slots = [], []
+    rows = []
     for mix_id, sources in sorted(per_mix.items()):
         whole = sum(w for w, _ in sources.values())
         names = sorted(s for s, (w, cap) in sources.items() if w > 0 and cap > 0 and available.get(s, 0) > 0)
@@ -86,15 +94,41 @@ def plan(targets: list[dict], available: dict[str, int], block: int = BLOCK, cyc
         else:
             size = float(total or 0)
         quota = {s: int(min(size * sources[s][0] / weight, limit(s, float("inf")))) for s in names}
-        n = min(cycle, max(len(names), -(-sum(quota.values()) // block))) if names else 0
-        given = shares([quota[s] or 1 for s in names], n) if names else []
+        given = {s: -(-q // block) for s, q in quota.items()}
         for s, (w, cap) in sorted(sources.items()):
             rows.append({"mix_id": mix_id, "source": s, "target_share": w / whole if whole else 0.0, "max_repeats": None if cap == float("inf") else int(cap), "available_tokens": available.get(s, 0),
-                         "quota": quota.get(s, 0), "blocks": given[names.index(s)] if s in names else 0, "slots": n})
-        slots += [{"mix_id": mix_id, "source": names[i], "k": k, "slot": slot} for slot, (i, k) in enumerate(schedule(given))]
+                         "quota": quota.get(s, 0), "blocks": given.get(s, 0), "slots": sum(given.values())})
+    slots = ({"mix_id": m, "source": names[i], "k": k, "slot": slot} for m, names, given in mixes(rows) for slot, (i, k) in enumerate(turns(given)))
     return rows, slots
 
 
+def mixes(rows: list[dict]) -> list[tuple[str, list[str], list[int]]]:
+    """(mix_id, sources, their blocks) of each mix in the rows of a plan."""
+    out: dict[str, tuple[list[str], list[int]]] = {}
+    for r in rows:
+        if r["blocks"]:
+            names, given = out.setdefault(r["mix_id"], ([], []))
+            names.append(r["source"])
+            given.append(r["blocks"])
+    return [(m, *x) for m, x in out.items()]
+
+
+def slots_of(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """(mix_id, source, _block, slot): the schedules of a plan, made by one task a mix that keeps one block of each source."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for m, names, given in zip(p["mix_id"], p["names"], p["given"]):
+                each = enumerate(turns([int(b) for b in given]))
+                while batch := [(m, names[i], k, slot) for slot, (i, k) in islice(each, BATCH)]:
+                    yield pd.DataFrame(batch, columns=["mix_id", "source", "_block", "slot"])
+
+    all_of = mixes(rows)
+    d = spark.createDataFrame(all_of, "mix_id string, names array<string>, given array<bigint>").repartition(max(len(all_of), 1))
+    out = d.mapInPandas(run, "mix_id string, source string, _block bigint, slot bigint")
+    return F.broadcast(out) if sum(sum(given) for _, _, given in all_of) <= BROADCAST_ROWS else out
+
+
 def ordered(docs: DataFrame, seed: int = 42, piece: int = PIECE) -> DataFrame:
     """(doc_id, source, n_tokens, begin, source_tokens): each source in a fixed random order with the tokens before each document.
 
@@ -113,7 +147,7 @@ def ordered(docs: DataFrame, seed: int = 42, piece: int = PIECE) -> DataFrame:
     return d.select("doc_id", "source", "n_tokens", (F.col("_b") + F.col("_in")).alias("begin"), "source_tokens")
 
 
-def mix(docs: DataFrame, targets: DataFrame, block: int = BLOCK, cycle: int = CYCLE, total: int | None = None, **tokenizer) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, block: int = BLOCK, total: int | None = None, **tokenizer) -> tuple[DataFrame, DataFrame]:
     """(plan, report).
 
     Plan: (mix_id, slot, source, doc_id, pass, n_tokens), a row for each time a document is taken; documents are whole,
@@ -121,26 +155,24 @@ def mix(docs: DataFrame, targets: DataFrame, block: int = BLOCK, cycle: int = CY
     tokens is never taken. Report: (mix_id, source, target_share, actual_share, tokens, docs, most_repeats,
     max_repeats, available_tokens), a row for each target.
 
-    Collected are one row per target and one number per source of a target; what is sent to all workers is the
-    schedule's cycle, at most ``cycle`` rows a mix. Documents shuffle once into their order.
+    Collected are one row per target and one number per source of a target. The schedule is made on the workers, a row
+    for each block; it is broadcast if it is short, else documents taken and schedule shuffle to each other. Documents
+    shuffle once into their order.
     """
     wanted = bounded(targets.where(F.col("source").isNotNull()).select("source").distinct())
     n = sizes(docs.join(wanted, "source", "left_semi"), ["doc_id", "source"], **tokenizer).persist(StorageLevel.DISK_ONLY)
     n = n.where(F.col("n_tokens") > 0)
     have = {r.source: r.t for r in n.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
-    rows, slots = plan([r.asDict() for r in targets.select("mix_id", "source", "weight", "max_repeats").collect()], have, block, cycle, total)
+    rows, _ = plan([r.asDict() for r in targets.select("mix_id", "source", "weight", "max_repeats").collect()], have, block, total)
     spark = docs.sparkSession
     wants = spark.createDataFrame([tuple(r.values()) for r in rows], "mix_id string, source string, target_share double, max_repeats bigint, available_tokens bigint, quota bigint, blocks bigint, slots bigint")
-    cycles = spark.createDataFrame([tuple(r.values()) for r in slots], "mix_id string, source string, _k bigint, _slot bigint")
 
-    d = ordered(n).join(F.broadcast(wants.where("quota > 0").select("mix_id", "source", "quota", "blocks", "slots")), "source")
+    d = ordered(n).join(F.broadcast(wants.where("quota > 0").select("mix_id", "source", "quota")), "source")
     # Passes over the source until the quota; the document in which it falls is taken whole if that stays within the cap.
     passes = F.ceil((F.col("quota") - F.col("begin")) / F.col("source_tokens"))
     d = d.withColumn("_n", passes).where("_n > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
-    d = d.withColumn("_block", F.floor((F.col("pass") * F.col("source_tokens") + F.col("begin")) / block))
-    d = d.withColumn("_k", F.col("_block") % F.col("blocks")).withColumn("_cycle", F.floor(F.col("_block") / F.col("blocks")))
-    d = d.join(F.broadcast(cycles), ["mix_id", "source", "_k"]).withColumn("slot", F.col("_cycle") * F.col("slots") + F.col("_slot"))
-    taken = d.select("mix_id", "slot", "source", "doc_id", "pass", "n_tokens", "begin")
+    d = d.withColumn("_block", F.expr(f"(pass * source_tokens + begin) div {int(block)}"))
+    taken = d.join(slots_of(spark, rows), ["mix_id", "source", "_block"]).select("mix_id", "slot", "source", "doc_id", "pass", "n_tokens", "begin")
 
     got = d.groupBy("mix_id", "source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"), (F.max("pass") + 1).alias("most_repeats"))
     all_of = W.partitionBy("mix_id")

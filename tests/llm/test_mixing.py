@@ -40,6 +40,34 @@ def test_plan():
     assert {r["source"]: r["quota"] for r in rows if r["mix_id"] == "m"} == {"a": 6000, "b": 5000, "none": 0}
 
 
+def test_every_source_with_a_quota_has_its_blocks():
+    few = [{"mix_id": "m", "source": s, "weight": w, "max_repeats": None} for s, w in (("a", 0.9), ("b", 0.05), ("c", 0.05))]
+    rows, slots = mixing.plan(few, {"a": 9000, "b": 9000, "c": 9000}, total=6000)
+    assert {r["source"]: (r["quota"], r["blocks"]) for r in rows} == {"a": (5400, 3), "b": (300, 1), "c": (300, 1)} and sorted(s["slot"] for s in slots) == list(range(5))
+    large = [{"mix_id": "m", "source": s, "weight": w, "max_repeats": None} for s, w in (("a", 1.0), ("b", 0.3), ("c", 1e-5))]
+    rows, slots = mixing.plan(large, {"a": 10**6, "b": 10**6, "c": 10**6}, block=10, total=10**6)
+    blocks, got = {r["source"]: r["blocks"] for r in rows}, Counter()
+    assert all(r["blocks"] == -(-r["quota"] // 10) > 0 for r in rows)
+    n = sum(blocks.values())
+    for t, s in enumerate(slots, 1):
+        assert s["k"] == got[s["source"]]
+        got[s["source"]] += 1
+        assert all(abs(got[x] * n - b * t) < n for x, b in blocks.items())
+    assert got == blocks and n > 10_000
+
+
+@pytest.mark.skipif(not os.path.exists(TOKENIZERS), reason="no vocabulary files")
+@pytest.mark.parametrize("block", [2048, 1])
+def test_small_shares_keep_their_documents(spark, block):
+    docs = spark.createDataFrame([(i, "a b c d e f", "abc"[i % 3]) for i in range(300)], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("m", "a", 0.9, None), ("m", "b", 0.05, None), ("m", "c", 0.05, None)], "mix_id string, source string, weight double, max_repeats bigint")
+    plan, report = mixing.mix(docs, targets, block=block, total=30_000)
+    got, want = Counter(r.source for r in plan.collect()), {r.source: r.docs for r in report.collect()}
+    assert got == want == {"a": 4500, "b": 250, "c": 250}
+    plan, report = mixing.mix(docs, targets, block=block, total=600)
+    assert Counter(r.source for r in plan.collect()) == {r.source: r.docs for r in report.collect()} == {"a": 90, "b": 5, "c": 5}
+
+
 @pytest.mark.skipif(not os.path.exists(TOKENIZERS), reason="no vocabulary files")
 def test_whole_tables(spark):
     docs, targets = read(spark, SF, "documents"), read(spark, SF, "mix_targets")
