@@ -202,7 +202,7 @@ def cited_manifests(spark, d):
 
 
 def sources_of_urls(spark, d):
-    m = _read(spark, d, "manifests").select("row_id", F.concat(F.upper(F.substring("url", 1, 8)), F.substring("url", 9, 500), F.lit("#top")).alias("u"))
+    m = _read(spark, d, "manifests").select("row_id", F.concat(F.upper(F.substring("url", 1, 8)), F.expr("substring(url, 9)"), F.lit("#top")).alias("u"))
     return registry.source_for_url(m, "u", _read(spark, d, "sources")).select("row_id", "source_id")
 
 

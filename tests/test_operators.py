@@ -172,6 +172,13 @@ def test_dispatch_takes_each_observation_of_a_day(spark, tmp_path):
     assert corroborated(spark, tmp_path, a + b) == sorted(want)
 
 
+def test_long_urls_keep_their_ends(spark, tmp_path):
+    long = "https://x.example/" + "a" * 600
+    spark.createDataFrame([("one", long + "/1"), ("two", long + "/2"), ("cut", long[:508])], "source_id string, url string").write.parquet(f"{tmp_path}/sources.parquet")
+    spark.createDataFrame([(1, long + "/1"), (2, long + "/2"), (3, long + "/3"), (4, long[:508])], "row_id bigint, url string").write.parquet(f"{tmp_path}/manifests.parquet")
+    assert {(r.row_id, r.source_id) for r in QUERIES["sources_of_urls"](spark, str(tmp_path)).collect()} == {(1, "one"), (2, "two"), (3, None), (4, "cut")}
+
+
 def test_state_round_trip():
     opened = [C.Open("a", "t", 1, None, "x", "h", True, {"s": ("c", "l")}, True)]
     assert C.load(C.dump(opened)) == opened
