@@ -78,12 +78,14 @@ def orphan_keys(state: DataFrame) -> DataFrame:
 def orphans(refs: DataFrame, existing: DataFrame) -> DataFrame:
     """(event_id, pos, field, period, kind) of every reference without a valid target at its own landing time.
 
-    The counts per key are looked up as of the reference: existence is +1 from the arrival on and falls back to 0 at the
-    end. No arrival at all is ``missing``, a later one ``late``, an end at or before the reference ``deleted``.
+    The count of existence as of the reference decides: of the key's changes (one arrival, at most one end) those up to
+    then are summed, and nothing left is an orphan. No arrival at all is ``missing``, a later one ``late``, else ``deleted``.
     """
     state = merge_counts(deltas(refs, existing)).select("target_table", "key", "first_at", "gone_at")
     d = skew_left_join(refs, state, ["target_table", "key"])
-    kind = F.when(F.col("first_at").isNull(), "missing").when(F.col("first_at") > F.col("landed_at"), "late").when(F.col("gone_at") <= F.col("landed_at"), "deleted")
+    upto = lambda at: F.coalesce(F.col(at) <= F.col("landed_at"), F.lit(False))
+    existence = upto("first_at").cast("int") - upto("gone_at").cast("int")
+    kind = F.when(existence <= 0, F.when(F.col("first_at").isNull(), "missing").when(~upto("first_at"), "late").otherwise("deleted"))
     return d.withColumn("kind", kind).where(F.col("kind").isNotNull()).select("event_id", "pos", "field", "period", "kind")
 
 
@@ -91,6 +93,11 @@ def orphan_references(events: DataFrame, manifests: DataFrame, sources: DataFram
     return orphans(references(events), targets(sources, manifests, events))
 
 
+def orphans_now(events: DataFrame, manifests: DataFrame, sources: DataFrame) -> DataFrame:
+    """:func:`orphan_keys` after all changes in the tables."""
+    return orphan_keys(merge_counts(deltas(references(events), targets(sources, manifests, events))))
+
+
 def orphan_report(found: DataFrame) -> DataFrame:
     """(field, period, kind, n): orphans per referring field and month."""
     return found.groupBy("field", "period", "kind").agg(F.count(F.lit(1)).alias("n"))

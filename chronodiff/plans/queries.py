@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": _tables("bedrock_offers")(lambda b: nested.offer_nodes(b).select("row_id", "level", "node_key", "parent_key")),
     "p4_found": _tables("change_events", "manifests", "sources")(references.orphan_references),
     "p4_report": _tables("change_events", "manifests", "sources")(lambda e, m, s: references.orphan_report(references.orphan_references(e, m, s))),
+    "p4_keys": _tables("change_events", "manifests", "sources")(references.orphans_now),
     "p5_found": _tables("openrouter_models", "statuspage_incidents", "azure_retail_prices", "change_events", "sources")(
         lambda m, s, a, e, src: instants.normalise(instants.values(m, s, a, e), src).select("record_table", "row_id", "pos", "epoch_us")
     ),

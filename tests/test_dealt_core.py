@@ -208,6 +208,16 @@ def test_counts_are_maintained_from_deltas(spark):
     assert {tuple(r) for r in two.collect()} == {tuple(r) for r in references.merge_counts(a.unionByName(b)).collect()}
 
 
+def test_orphan_keys_of_the_tables(spark):
+    ev, man, src = (read(spark, SF, t) for t in ("change_events", "manifests", "sources"))
+    first = lambda rows, k: {r[k]: r for r in sorted((r for r in rows if r[k] is not None), key=lambda r: (r.landed_at, r.row_id), reverse=True)}
+    e, m = first(ev.collect(), "id"), first(man.collect(), "path")
+    ended = {("sources", r.source_id): r.removed_at is not None for r in src.collect()} | {("manifests", p): r.deleted_at is not None for p, r in m.items()} | {("change_events", i): False for i in e}
+    refs = Counter(k for r in e.values() for k in [("change_events", r.correction_of), *[k for x in r.evidence for k in (("sources", x.source_id), ("manifests", x.manifest_path))]] if k[1] is not None)
+    want = {(*k, n) for k, n in refs.items() if ended.get(k, True)}
+    assert want and {(r.target_table, r.key, r.refs) for r in QUERIES["p4_keys"](spark, SF).collect()} == want
+
+
 def test_skewed_join_keeps_all_rows(spark):
     from chronodiff.operators.joins import skew_left_join
 
