@@ -139,6 +139,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], cache: int = 500_000, keep_chars: int = 64):
         self.ranks, self.most, self.keep = ranks, cache, keep_chars
         self.cache: dict[str, list[int]] = {}
+        self.sizes: np.ndarray | None = None
 
     def merge(self, data: bytes) -> list[int]:
         """Merges the neighbours of the lowest rank, leftmost first, until none is left; n log n in the bytes."""
@@ -165,6 +166,13 @@ class Encoder:
                 heapq.heappush(heap, (r, h, len(part[h]) + len(part[i])))
         return [ranks[p] for p in part if p is not None]
 
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        """How many bytes each id stands for."""
+        if self.sizes is None:
+            self.sizes = np.zeros(max(self.ranks.values()) + 1, np.int64)
+            self.sizes[list(self.ranks.values())] = [len(b) for b in self.ranks]
+        return self.sizes[ids]
+
     def piece(self, s: str) -> list[int]:
         ids = self.cache.get(s)
         if ids is None:

@@ -50,17 +50,31 @@ def _encoded(enc: Encoder, column: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets).astype(np.int32)), pa.array(np.concatenate(values) if values else np.zeros(0, np.int32)))
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
-    """(key, ids): the ids of each text, without special tokens; an empty list for an empty or null text. One narrow pass."""
+def _begins(enc: Encoder, ids: pa.ListArray) -> pa.ListArray:
+    """Where the bytes of each id begin in those of its text."""
+    sizes = enc.bytes_of(ids.values.to_numpy())
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    ends = ids.offsets.to_numpy()
+    begins = at[:-1] - np.repeat(at[ends[:-1]], np.diff(ends))
+    return pa.ListArray.from_arrays(ids.offsets, pa.array(begins.astype(np.int32)))
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str = "byte_bpe_50k", folder: str = TOKENIZERS, offsets: bool = False) -> DataFrame:
+    """(key, ids): the ids of each text, without special tokens; an empty list for an empty or null text. One narrow pass.
+
+    With ``offsets`` also (offsets): where each id begins in the text's UTF-8 bytes; it ends where the next begins.
+    """
     path = os.path.join(folder, f"{name}.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), _encoded(enc, b.column(1))], names=["k", "ids"])
+            ids = _encoded(enc, b.column(1))
+            more = {"offsets": _begins(enc, ids)} if offsets else {}
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, *more.values()], names=["k", "ids", *more])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(run, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
+    return docs.select(docs[key].alias("k"), docs[text].alias("t")).mapInArrow(run, f"k {kind}, ids array<int>" + (", offsets array<int>" if offsets else "")).withColumnRenamed("k", key)
 
 
 def sizes(docs: DataFrame, keys: list[str], text: str = "text", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:

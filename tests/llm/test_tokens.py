@@ -83,6 +83,17 @@ def test_whole_table(spark, public):
     assert out == dict(zip(docs, public(list(docs.values()))))
 
 
+def test_offsets(spark, monkeypatch):
+    words = {i: b for b, i in bpe.read_ranks(PATH).items()}
+    texts = [None, "", "a b", "héllo  wörld 🚀🚀\n\n中文 12345", "it's   a test " * 40, "x" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    for r in encoding.encode(docs, offsets=True).collect():
+        data = (texts[r.doc_id] or "").encode()
+        ends = [*r.offsets[1:], len(data)] if r.ids else []
+        assert len(r.ids) == len(r.offsets) and [data[a:b] for a, b in zip(r.offsets, ends)] == [words[i] for i in r.ids]
+        assert (r.offsets[0] == 0) if data else (r.ids == r.offsets == [])
+
+
 def test_null_and_empty(spark):
     d = spark.createDataFrame([(1, None, 5), (2, "", 6), (3, "a b", 7)], "doc_id bigint, text string, ids int")
     assert {r.doc_id: list(r.ids) for r in encoding.encode(d).collect()} == {1: [], 2: [], 3: [64, 275]}
