@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame
 BATCH = 20_000
 
 
-def parse(text: str | None, wrappings: int = 3):
-    """The JSON value of a text, or None. A byte order mark is dropped, text inside a JSON string is parsed again."""
-    for _ in range(wrappings + 1):
-        if not isinstance(text, str):
-            return text
+def parse(text: str | None):
+    """The JSON value of a text, or None. A byte order mark is dropped; text inside a JSON string is parsed again, however
+    often it is wrapped: each wrapping is at least its two quotes shorter, so this ends.
+    """
+    while isinstance(text, str):
         try:
-            text = json.loads(text.lstrip("﻿").strip())
+            text = json.loads(text.lstrip("\ufeff").strip())
         except (ValueError, RecursionError):
             return None
-    return None
+    return text
 
 
 def _text(v) -> str | None:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronodiff.functions import identity as I
+from chronodiff.operators.asof import as_of
+from chronodiff.operators.joins import bounded
 
 #: Types that undo each other; any other type undoes itself.
 REVERSALS = {"model.released": "model.deprecated", "model.deprecated": "model.released", "model.retired": "model.released"}
@@ -52,7 +54,8 @@ def mint(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, exceptions) as of :func:`identified`, but one event per id: the first observed."""
     good, bad = identified(deltas)
     rest = [c for c in good.columns if c != "id"]
-    one = good.groupBy("id").agg(F.min_by(F.struct(*rest), F.struct("observed_at")).alias("_r")).select("id", "_r.*")
+    # Ties at one instant: the smallest row as JSON text.
+    one = good.groupBy("id").agg(F.min_by(F.struct(*rest), F.struct("observed_at", F.to_json(F.struct(*rest)))).alias("_r")).select("id", "_r.*")
     return one, bad
 
 
@@ -80,24 +83,18 @@ def repeated_within(events: DataFrame, key: list[str], at: str, order: list[str]
 
 
 def latest_within(observed: DataFrame, candidates: DataFrame, keys: list[str], at: str, identity: str, hours: int = ATTACH_HOURS) -> DataFrame:
-    """``observed`` with ``candidate``: the id of the last candidate of the same keys from 0 to below ``hours`` before it.
+    """``observed`` with ``candidate``: the id of the last candidate of the same keys from 0 to below ``hours`` before it, itself excepted.
 
-    The time range becomes an equality on buckets of ``hours``: a candidate is listed in its bucket and in the next, so
-    nothing is paired beyond them; candidates of one key and bucket are what a window holds.
+    Of candidates of one time the one with the greatest id counts; null keys are equal. Each candidate knows the one
+    before it, which takes its place for the row that is the candidate itself. No pairs: rows are ordered in their key.
     """
-    size = hours * 3600
-    bucket = lambda c: F.floor(F.unix_seconds(c) / size)
-    c = candidates.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(at).cast("timestamp").alias("_at"), F.col(identity).alias("_id"))
-    c = c.select("*", F.explode(F.array(bucket(F.col("_at")), bucket(F.col("_at")) + 1)).alias("_b"))
-    o = observed.withColumn("_row", F.struct(*observed.columns)).withColumn("_ob", bucket(F.col(at).cast("timestamp")))
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    gap = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros("_at")
-    cond = (F.col("_ob") == F.col("_b")) & (gap >= 0) & (gap < size * 1_000_000) & ~F.col(identity).eqNullSafe(F.col("_id"))
-    for x in on:
-        cond = cond & x
-    j = o.join(c, cond, "left")
-    g = j.groupBy("_row").agg(F.max(F.struct("_at", "_id")).alias("_m"))
-    return g.select("_row.*", F.col("_m._id").alias("candidate"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    c = candidates.select(*keys, micros(at).alias("_at"), F.col(identity).alias("_id")).where(F.col("_at").isNotNull() & F.col("_id").isNotNull())
+    c = as_of(c, c, keys, F.col("_at"), F.col("_at"), {"_before": (F.max, F.struct("_at", "_id"))}, F.col("_id"), F.col("_id"), inclusive=False, null_safe=True)
+    d = as_of(observed, c, keys, micros(at), F.col("_at"), {"_c": (F.max, F.struct("_at", "_id", "_before"))}, null_safe=True)
+    found = F.when(F.col(identity).eqNullSafe(F.col("_c._id")), F.col("_c._before")).otherwise(F.struct(F.col("_c._at").alias("_at"), F.col("_c._id").alias("_id")))
+    near = micros(at) - found["_at"] < hours * 3_600_000_000
+    return d.withColumn("candidate", F.when(near, found["_id"])).drop("_c")
 
 
 def lineage(source_class: Column, line: Column, mirror: Column) -> Column:
@@ -120,7 +117,7 @@ def any_independent(new: Column, old: Column) -> Column:
 def with_traits(items: DataFrame, source: str, sources: DataFrame) -> DataFrame:
     """Items with ``trait``, null for an unknown source."""
     t = sources.select(F.col("source_id").alias(source), F.struct("source_class", lineage(F.col("source_class"), F.col("lineage"), F.lit(False)).alias("lineage")).alias("trait"))
-    return items.join(F.broadcast(t), source, "left")
+    return items.join(bounded(t), source, "left")
 
 
 def with_sources(items: DataFrame, key: list[str], ids: str, order: list[str], sources: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from chronodiff.operators.asof import as_of as running_as_of
+
 #: Chain: (event_id, ts, rank, seq, kind); at one time annotations (rank 0) come before verdicts (rank 1).
 DECIDES = {"confirm": "confirmed", "reject": "rejected"}
 OPENS = "discrepancy"
@@ -42,10 +44,16 @@ def running(entries: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def as_of(entries: DataFrame, at: DataFrame, identity: str, key: str = "event_id", ts: str = "at") -> DataFrame:
-    """identity, status, discrepancy_open of each row of ``at`` (identity, key, ts): the fold of the entries up to that time."""
-    d = at.select(F.col(identity).alias("_i"), key, F.col(ts).alias("_at")).join(entries, key, "left").where(F.col("ts").isNull() | (F.col("ts") <= F.col("_at")))
-    known = fold(d.withColumnRenamed("_i", identity), identity)
-    return at.select(identity).join(known, identity, "left").select(identity, F.coalesce("status", F.lit("unconfirmed")).alias("status"), F.coalesce("discrepancy_open", F.lit(False)).alias("discrepancy_open"))
+    """identity, status, discrepancy_open of each row of ``at`` (identity, key, ts): the fold of the entries up to that time.
+
+    A row with a null time, a null key or no entry before it is unconfirmed.
+    """
+    d = _decision()
+    place = F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), "rank", "seq")
+    known = running_as_of(at.select(identity, key, ts), entries, [key], F.unix_micros(F.col(ts).cast("timestamp")), F.unix_micros(F.col("ts").cast("timestamp")),
+                          {"_d": (F.max, F.when(d.isNotNull(), F.struct(place.alias("place"), d.alias("status")))), "_o": (F.max, F.when(F.col("kind") == OPENS, place))})
+    opened = F.col("_o").isNotNull() & (F.col("_d").isNull() | (F.col("_o") > F.col("_d.place")))
+    return known.select(identity, F.coalesce("_d.status", F.lit("unconfirmed")).alias("status"), opened.alias("discrepancy_open"))
 
 
 def flags(annotations: DataFrame, kinds: dict[str, str], key: str = "event_id") -> DataFrame:

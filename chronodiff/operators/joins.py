@@ -25,8 +25,8 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, counts: D
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if counts is None else counts
     # An empty table has a null total and so no hot key.
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).where(F.col("_n") > F.col("_total") * share).select(*keys)
+    total = counts.agg(F.sum("_n").alias("_total"), F.lit(1).alias("_one"))
+    return counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").where(F.col("_n") > F.col("_total") * share).select(*keys)
 
 
 def skew_left_join(left: DataFrame, right: DataFrame, keys: list[str], share: float = HOT_SHARE, counts: DataFrame | None = None) -> DataFrame:
@@ -44,8 +44,6 @@ def skew_left_join(left: DataFrame, right: DataFrame, keys: list[str], share: fl
     return a.unionByName(b)
 
 
-
-
 def where_not_null(df: DataFrame, column: str) -> DataFrame:
     """The rows of ``df`` in which the computed ``column`` isn't null; it becomes the last column.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronodiff.operators.joins import skew_left_join
+from chronodiff.operators.asof import as_of
 
 STATE = "target_table string, key string, refs bigint, existence bigint, first_at timestamp, gone_at timestamp"
 
@@ -78,14 +78,17 @@ def orphan_keys(state: DataFrame) -> DataFrame:
 def orphans(refs: DataFrame, existing: DataFrame) -> DataFrame:
     """(event_id, pos, field, period, kind) of every reference without a valid target at its own landing time.
 
-    The count of existence as of the reference decides: of the key's changes (one arrival, at most one end) those up to
-    then are summed, and nothing left is an orphan. No arrival at all is ``missing``, a later one ``late``, else ``deleted``.
+    The count decides: the signed existence of the key summed up to the reference (changes at the same instant count,
+    so an arrival then is in time and an end then is over). A key may arrive and end any number of times; one that was
+    delivered again is there again. Nothing left is an orphan: ``missing`` if the key never arrives, ``late`` if it
+    arrives only afterwards, else ``deleted``. An arrival without a time is none.
     """
-    state = merge_counts(deltas(refs, existing)).select("target_table", "key", "first_at", "gone_at")
-    d = skew_left_join(refs, state, ["target_table", "key"])
-    upto = lambda at: F.coalesce(F.col(at) <= F.col("landed_at"), F.lit(False))
-    existence = upto("first_at").cast("int") - upto("gone_at").cast("int")
-    kind = F.when(existence <= 0, F.when(F.col("first_at").isNull(), "missing").when(~upto("first_at"), "late").otherwise("deleted"))
+    born = existing.where(F.col("at").isNotNull())
+    signed = deltas(refs.limit(0), born).select("target_table", "key", F.unix_micros("at").alias("_at"), F.col("existence").cast("bigint").alias("existence"), F.when(F.col("existence") > 0, 1).otherwise(0).cast("bigint").alias("births"), F.lit(0).cast("bigint").alias("ever"))
+    # Known from the beginning: that the key will be there at some time.
+    ever = born.select("target_table", "key", F.lit(None).cast("bigint").alias("_at"), F.lit(0).cast("bigint").alias("existence"), F.lit(0).cast("bigint").alias("births"), F.lit(1).cast("bigint").alias("ever"))
+    d = as_of(refs, signed.unionByName(ever), ["target_table", "key"], F.unix_micros("landed_at"), F.col("_at"), {c: (F.sum, F.col(c)) for c in ("existence", "births", "ever")})
+    kind = F.when(F.coalesce("existence", F.lit(0)) <= 0, F.when(F.coalesce("ever", F.lit(0)) == 0, "missing").when(F.coalesce("births", F.lit(0)) == 0, "late").otherwise("deleted"))
     return d.withColumn("kind", kind).where(F.col("kind").isNotNull()).select("event_id", "pos", "field", "period", "kind")
 
 

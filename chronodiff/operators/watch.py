@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,43 +15,55 @@ from chronodiff.operators.diff import changed_keys
 STANCE = T.StructType([T.StructField("allowed", T.BooleanType()), T.StructField("rules", T.ArrayType(T.StringType())), T.StructField("crawl_delay", T.StringType()), T.StructField("signals", T.MapType(T.StringType(), T.StringType()))])
 
 
-def stance(text: str | None, agent: str, path: str) -> tuple:
-    """(allowed, rules, crawl delay, signals) that a robots.txt holds for an agent: of the groups that name it, else of those for all; the longest rule decides."""
-    groups: list[tuple[list[str], list[tuple[str, str]]]] = []
-    names, body = [], []
+def rule_pattern(rule: str) -> re.Pattern:
+    """A rule's path as a pattern: `*` stands for anything, `$` at the end for the end; all else is itself, from the beginning on."""
+    body, anchored = (rule[:-1], "$") if rule.endswith("$") else (rule, "")
+    return re.compile(".*".join(map(re.escape, body.split("*"))) + anchored, re.DOTALL)
+
+
+def stance(text: str | None, agent: str, path: str, fetched: str = "ok") -> tuple:
+    """(allowed, rules, crawl delay, signals) that a robots.txt holds for an agent.
+
+    The groups count that name the agent's token (what stands before its `/`, in any case), else those for all. Of the rules that
+    match the path the longest decides, of equally long ones the one that allows. No rule allows. A file that is
+    ``absent`` allows all, one that is ``unreachable`` nothing; both have no rules.
+    """
+    if fetched != "ok":
+        return fetched == "absent", [], None, {}
+    token = agent.split("/", 1)[0].strip().lower()
+    by_name: dict[str, list[tuple[str, str]]] = {}
+    signals: dict[str, str] = {}
+    names: list[str] = []
+    naming = False
     for line in (text or "").splitlines():
-        field, sep, value = line.split("#", 1)[0].partition(":")
+        field, sep, value = (x.strip() for x in line.split("#", 1)[0].partition(":"))
+        field = field.lower()
         if not sep:
-            continue
-        field, value = field.strip().lower(), value.strip()
-        if field == "user-agent":
-            if body:
-                groups.append((names, body))
-                names, body = [], []
-            names.append(value.lower())
-        elif names:
-            body.append((field, value))
-    if names:
-        groups.append((names, body))
-    mine = [b for n, b in groups if any(x != "*" and x and x in agent.lower() for x in n)] or [b for n, b in groups if "*" in n]
-    lines = [x for b in mine for x in b]
+            naming = naming and bool(field)
+        elif field == "user-agent":
+            names = [*(names if naming else []), value.lower()]
+            by_name.setdefault(names[-1], [])
+            naming = True
+        else:
+            naming = False
+            for n in names:
+                by_name[n].append((field, value))
+            if field == "content-signal":
+                signals |= {k.strip().lower(): x.strip().lower() for k, s, x in (p.partition("=") for p in value.split(",")) if s}
+    lines = by_name.get(token, by_name.get("*", []))
     rules = [(f, v) for f, v in lines if f in ("allow", "disallow") and v]
-    hits = [(len(v.rstrip("*$")), f == "allow") for f, v in rules if path.startswith(v.rstrip("*$").split("*")[0])]
-    signals: dict[str, str] = {}
-    for f, v in lines:
-        if f == "content-signal":
-            signals |= {k.strip().lower(): x.strip().lower() for k, s, x in (p.partition("=") for p in v.split(",")) if s}
+    hits = [(len(v), f == "allow") for f, v in rules if rule_pattern(v).match(path)]
     return (max(hits)[1] if hits else True), sorted(f"{f} {v}" for f, v in rules), next((v for f, v in lines if f == "crawl-delay"), None), signals
 
 
-def stances(robots: DataFrame, text: str, path: str, agent: str) -> DataFrame:
-    """``robots`` with ``stance`` (a struct) of each row's text for its path."""
+def stances(robots: DataFrame, text: str, path: str, agent: str, status: str | None = None) -> DataFrame:
+    """``robots`` with ``stance`` (a struct) of each row's text for its path; ``status``: the column of the answer's status, else each text was fetched."""
 
     @F.pandas_udf(STANCE)
-    def run(t: pd.Series, p: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([stance(a, agent, b or "/") for a, b in zip(t, p)], columns=STANCE.names)
+    def run(t: pd.Series, p: pd.Series, f: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([stance(a, agent, b or "/", c) for a, b, c in zip(t, p, f)], columns=STANCE.names)
 
-    return robots.withColumn("stance", run(F.col(text), F.col(path)))
+    return robots.withColumn("stance", run(F.col(text), F.col(path), F.lit("ok") if status is None else fetched_as(F.col(status))))
 
 
 def fetched_as(status: Column) -> Column:

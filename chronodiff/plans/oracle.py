@@ -197,13 +197,18 @@ SELECT e.event_id, e.user_id, arg_max(c.event_id, row(c.ts, c.event_id)) AS cand
 WITH k AS (SELECT provider, model_id, event_type, observed_at, '{"canonical_model_id":"' || model_id || '","event_type":"' || event_type || '","new_value":' || CASE event_type WHEN 'model.released' THEN '"' || model_id || '"' ELSE 'null' END || ',"normalized_field_path":"models[].id","old_value":' || CASE event_type WHEN 'model.deprecated' THEN '"' || model_id || '"' ELSE 'null' END || ',"provider":"' || provider || '"}' AS key
  FROM change_events WHERE event_type IN ('model.released', 'model.deprecated') AND model_id IS NOT NULL),
  i AS (SELECT 'evt_' || strftime(observed_at AT TIME ZONE 'UTC', '%Y%m%d') || '_' || substr(sha256(key), 1, 8) AS id, provider, model_id, event_type, min(observed_at) AS at FROM k GROUP BY ALL)
-SELECT a.id, b.id AS undone FROM i a JOIN i b ON a.provider = b.provider AND a.model_id = b.model_id AND a.event_type <> b.event_type AND a.at > b.at
+SELECT a.id, arg_max(b.id, row(b.at, b.id)) AS undone FROM i a JOIN i b ON a.provider = b.provider AND a.model_id = b.model_id AND a.event_type <> b.event_type AND a.at >= b.at AND a.at < b.at + INTERVAL 1440 HOUR GROUP BY a.id
 """,
     "independent_sources": """
 WITH s AS (SELECT source_id, source_class, CASE WHEN lineage = 'third-party-aggregator' OR source_class = 'provider-docs' THEN 'provider-docs' WHEN lineage = 'own-probe' OR source_class = 'own-probe' THEN 'own-probe' ELSE source_class END AS l FROM sources),
  e AS (SELECT row_id, unnest(evidence).source_id AS source_id FROM change_events),
  x AS (SELECT row_id, source_class, l FROM e JOIN s USING (source_id))
-SELECT row_id, EXISTS (SELECT 1 FROM x a, x b WHERE a.row_id = r.row_id AND b.row_id = r.row_id AND a.source_class <> b.source_class AND a.l <> b.l) AS independent FROM (SELECT DISTINCT row_id FROM x) r
+SELECT row_id, EXISTS (SELECT 1 FROM x a, x b WHERE a.row_id = r.row_id AND b.row_id = r.row_id AND a.source_class <> b.source_class AND a.l <> b.l) AS independent FROM change_events r
+""",
+    "robots_stance": r"""
+WITH m AS (SELECT row_id, coalesce(http_status, 0) AS s, '/' || regexp_extract(url, '^[a-z]+://[^/]+/(.*)$', 1) AS p FROM manifests)
+SELECT row_id, CASE WHEN s BETWEEN 200 AND 299 THEN NOT regexp_matches(p, '^/.*-list$') AND NOT regexp_matches(p, '^/mo.*-docs') ELSE s BETWEEN 400 AND 499 AND s <> 429 END AS reader,
+ CASE WHEN s BETWEEN 200 AND 299 THEN regexp_matches(p, '^/stat.*s$') ELSE s BETWEEN 400 AND 499 AND s <> 429 END AS watcher FROM m
 """,
     "alias_index": """
 WITH e AS (SELECT canonical_id, unnest(map_entries(aliases)) AS e FROM model_aliases), a AS (SELECT canonical_id, e.key AS namespace, unnest(e.value) AS alias FROM e)

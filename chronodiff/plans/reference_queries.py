@@ -108,17 +108,27 @@ def reversal_pairs(spark, d):
     gone = F.col("event_type") == "model.deprecated"
     m = e.select("provider", F.col("model_id").alias("model"), "event_type", F.lit("models[].id").alias("field_path"), F.when(gone, F.col("model_id")).alias("old"), F.when(~gone, F.col("model_id")).alias("new"), "observed_at")
     x, _ = events.mint(m)
-    b = x.select(F.col("id").alias("undone"), F.col("hash8").alias("inverse8"), F.col("observed_at").alias("_at"))
-    return x.join(b, "inverse8").where(F.col("observed_at") > F.col("_at")).select("id", "undone")
+    at = lambda k: x.select("id", F.col(k).alias("k"), "observed_at")
+    # The tables' reversals lie weeks apart.
+    d = events.latest_within(at("inverse8"), at("hash8"), ["k"], "observed_at", "id", 24 * 60)
+    return d.where(F.col("candidate").isNotNull()).select("id", F.col("candidate").alias("undone"))
 
 
 def independent_sources(spark, d):
-    s = _read(spark, d, "sources").select("source_id", F.struct("source_class", events.lineage(F.col("source_class"), F.col("lineage"), F.lit(False)).alias("lineage")).alias("t"))
-    e = _read(spark, d, "change_events").select("row_id", F.explode(F.transform("evidence", lambda x: x.source_id)).alias("source_id")).where(F.col("source_id").isNotNull())
-    g = e.join(F.broadcast(s), "source_id").groupBy("row_id").agg(F.collect_set("t").alias("ts"))
+    e = _read(spark, d, "change_events").select("row_id", F.explode_outer("evidence.source_id").alias("source_id"))
+    g = events.with_traits(e, "source_id", _read(spark, d, "sources")).groupBy("row_id").agg(F.collect_set("trait").alias("ts"))
     return g.select("row_id", events.any_independent(F.col("ts"), F.col("ts")).alias("independent"))
 
 
+def robots_stance(spark, d):
+    rules = "User-agent: *\nDisallow: /*-list$\nDisallow: /m*api\nDisallow: /mo*-docs\nAllow: /models\n\nUser-agent: probe\nUser-agent: watch\nDisallow: /\nAllow: /stat*s$"
+    m = _read(spark, d, "manifests").select("row_id", "http_status", F.lit(rules).alias("robots"), F.concat(F.lit("/"), F.regexp_extract("url", "^[a-z]+://[^/]+/(.*)$", 1)).alias("at"))
+    out = m
+    for name, agent in (("reader", "reader/1.0"), ("watcher", "Watch/2 (+x)")):
+        out = watch.stances(out, "robots", "at", agent, "http_status").withColumn(name, F.col("stance.allowed")).drop("stance")
+    return out.select("row_id", "reader", "watcher")
+
+
 def alias_index(spark, d):
     m = _read(spark, d, "model_aliases").select("canonical_id", F.col("canonical_id").alias("pos"), "aliases")
     return registry.alias_index(m)
@@ -317,7 +327,7 @@ REFERENCE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         diff_models, diff_prices, diff_row_counts, diff_status, diff_docs, set_changes, stance_changes, mint_event_ids, minted_and_excepted, evidence_union, dup_within_72h, candidates_72h, reversal_pairs,
-        independent_sources, alias_index, provider_of_models, corrected_by, dangling_refs, misplaced_ids, seq_contiguity, next_seq, fold_status, running_status, status_as_of, derived_state, event_totals, latest_snapshot,
+        independent_sources, robots_stance, alias_index, provider_of_models, corrected_by, dangling_refs, misplaced_ids, seq_contiguity, next_seq, fold_status, running_status, status_as_of, derived_state, event_totals, latest_snapshot,
         absent_events, cited_manifests, sources_of_urls, refused_urls, source_kinds, canonical_urls, meter_tokens, retail_rows, unpivot_costs, model_payloads, incident_payloads, keyword_lifecycle, text_hashes, slugs,
         email_scan, secret_scan, write_scopes, rewritten_paths, blocked_collection, pins_missed, sentences, quote_states, section_names, corroborate_batch,
     )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,16 +31,13 @@ def build_session(cpus: int | str = 8, memory: str = "8g", name: str = "chronodi
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, so that it is computed once and survives lost executors.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder is taken.
+    The folder is the session's checkpoint folder, else the one it names in ``spark.checkpoint.dir``; without either this raises.
     """
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not spark.sparkContext.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = os.path.join(tempfile.gettempdir(), "chronodiff-checkpoints")
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
 

@@ -145,19 +145,58 @@ def service_events(df: DataFrame, word: str) -> DataFrame:
     return d.where(F.col("id").isNotNull() & F.col("updated_at").isNotNull())
 
 
-def resolve_graph(flat: list, index: int = 0, depth: int = 64):
-    """Value of a node of a flat array in which members and elements are indices; deeper nodes than ``depth`` are None."""
-    if depth < 0 or not 0 <= index < len(flat):
+def _is_index(x) -> bool:
+    return isinstance(x, int) and not isinstance(x, bool)
+
+
+def unflattened(flat: list):
+    """The value of a flat array whose first slot is the root.
+
+    A slot is a scalar, an object or a list whose members are slot numbers, or a wrapper `[name, slot]` that stands for
+    another slot. Every slot is built once and linked where it is used. A number outside the array, a chain of wrappers
+    that comes back to itself, and a link from a value to one that contains it are null; members that are no numbers are
+    left out.
+    """
+    alias = {i: v[1] for i, v in enumerate(flat) if isinstance(v, list) and len(v) == 2 and isinstance(v[0], str) and v[0] in WRAPPERS and _is_index(v[1])}
+
+    def slot(i: int) -> int | None:
+        for _ in range(len(alias) + 1):
+            if i not in alias:
+                return i if 0 <= i < len(flat) else None
+            i = alias[i]
+        return None
+
+    def links(i: int) -> list[tuple]:
+        v = flat[i]
+        pairs = v.items() if isinstance(v, dict) else enumerate(v) if isinstance(v, list) else ()
+        return [(k, slot(x)) for k, x in pairs if _is_index(x)]
+
+    built = [{} if isinstance(v, dict) else [] if isinstance(v, list) else v for v in flat]
+
+    def put(into, k, value) -> None:
+        if isinstance(into, dict):
+            into[k] = value
+        else:
+            into.append(value)
+
+    root = slot(0)
+    if root is None:
         return None
-    v = flat[index]
-    ref = lambda x: isinstance(x, int) and not isinstance(x, bool)
-    if isinstance(v, dict):
-        return {k: resolve_graph(flat, x, depth - 1) for k, x in v.items() if ref(x)}
-    if isinstance(v, list):
-        if len(v) == 2 and isinstance(v[0], str) and v[0] in WRAPPERS and ref(v[1]):
-            return resolve_graph(flat, v[1], depth - 1)
-        return [resolve_graph(flat, x, depth - 1) for x in v if ref(x)]
-    return v
+    # Depth first; the open slots are those on the way from the root.
+    opened, done, way = {root}, set(), [(root, iter(links(root)))]
+    while way:
+        at, rest = way[-1]
+        for k, to in rest:
+            put(built[at], k, None if to is None or to in opened else built[to])
+            if to is not None and to not in opened and to not in done:
+                opened.add(to)
+                way.append((to, iter(links(to))))
+                break
+        else:
+            way.pop()
+            opened.discard(at)
+            done.add(at)
+    return built[root]
 
 
 @F.pandas_udf(T.StringType())
@@ -165,9 +204,9 @@ def graph_json(s: pd.Series) -> pd.Series:
     def one(t):
         try:
             flat = json.loads(t)
-        except (TypeError, ValueError):
+            return json.dumps(unflattened(flat)) if isinstance(flat, list) and flat else None
+        except (TypeError, ValueError, RecursionError):  # no JSON, or nested deeper than can be written
             return None
-        return json.dumps(resolve_graph(flat)) if isinstance(flat, list) and flat else None
 
     return s.map(one)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -16,8 +17,8 @@ from pyspark.sql import Window as W
 from chronodiff.functions.identity import slug, text_hash
 
 # Elements without content of their own, and those that are no content.
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-SKIPPED = {"script", "style", "noscript", "template", "svg", "nav", "header", "footer", "aside", "button", "form"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+SKIPPED = {"script", "style", "noscript", "svg", "nav", "header", "footer", "aside", "form", "iframe"}
 
 
 @dataclass(frozen=True)
@@ -31,73 +32,101 @@ class Rule:
     model: str | None = None
 
 
-class _Blocks(HTMLParser):
-    """Text and heading blocks inside all elements of one name (or of a class that begins so, written `.prefix`)."""
+class _Events(HTMLParser):
+    """A page as one list of (what, value, classes): opened and closed elements by name, and texts."""
 
-    def __init__(self, root: str):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root, self.blocks = root, []
-        self.open: list[str] = []  # open elements of the root's and of skipped names
-        self.tag: str | None = None
-        self.level, self.text = 0, []
-
-    def _is_root(self, tag, attrs):
-        if self.root.startswith("."):
-            return any(c.startswith(self.root[1:]) for k, v in attrs if k == "class" and v for c in v.split())
-        return tag == self.root
-
-    def _flush(self):
-        t = " ".join("".join(self.text).split()) if self.level else "\n".join(x for x in (s.strip() for s in self.text) if x)
-        if t:
-            self.blocks.append((self.level, t))
-        self.text, self.level = [], 0
-
-    def _skipping(self):
-        return any(t in SKIPPED for t in self.open)
+        self.events: list[tuple[str, str, tuple[str, ...]]] = []
 
     def handle_starttag(self, tag, attrs):
-        if tag in VOID:
-            return
-        if self.tag is None:
-            if self._is_root(tag, attrs):
-                self.tag, self.open = tag, [tag]
-            return
-        if tag == self.tag or tag in SKIPPED:
-            self.open.append(tag)
-        elif len(tag) == 2 and tag[0] == "h" and tag[1] in "123456" and not self._skipping() and not self.level:
-            self._flush()
-            self.level = int(tag[1])
+        if tag not in VOID:
+            self.events.append(("open", tag, tuple(c for k, v in attrs if k == "class" and v for c in v.split())))
 
     def handle_endtag(self, tag):
-        if self.tag is None or tag in VOID:
-            return
-        if tag in self.open:
-            while self.open.pop() != tag:
-                pass
-            if not self.open:
-                self._flush()
-                self.tag = None
-        elif self.level and len(tag) == 2 and tag[0] == "h":
-            self._flush()
+        if tag not in VOID:
+            self.events.append(("close", tag, ()))
 
     def handle_data(self, data):
-        if self.tag is not None and not self._skipping():
-            self.text.append(data)
+        self.events.append(("text", data, ()))
 
 
-def blocks(html: str | None, roots: tuple[str, ...]) -> list[tuple[int, str]]:
-    """(level, text) of a page; level 0 is text. Of the roots the first that has any block counts, then body."""
-    for root in (*roots, "body"):
-        p = _Blocks(root)
-        try:
-            p.feed(html or "")
-            p.close()
-            p._flush()
-        except Exception:  # noqa: BLE001  a page that no parser takes has no blocks
+def _chosen(root: str, tag: str, classes: tuple[str, ...]) -> bool:
+    return any(c.startswith(root[1:]) for c in classes) if root.startswith(".") else tag == root
+
+
+def _heard(events: list[tuple], root: str) -> Iterator[tuple[str, str]]:
+    """The events inside all elements that ``root`` chooses, without skipped subtrees; `leave` follows each element.
+
+    Extents are counted in elements of one name, so unclosed elements of other names don't matter.
+    """
+    within = mute = None
+    depth = 0
+    for what, value, classes in events:
+        if within is None:
+            if what == "open" and _chosen(root, value, classes):
+                within, outer = value, 1
+            continue
+        if mute is not None:
+            depth += (value == mute) * ((what == "open") - (what == "close"))
+            mute = mute if depth else None
             continue
-        if p.blocks:
-            return p.blocks
-    return []
+        if what == "open" and value in SKIPPED:
+            mute, depth = value, 1
+        if what != "text" and value == within:
+            outer += 1 if what == "open" else -1
+            if not outer:
+                within = None
+                yield "leave", ""
+                continue
+        yield what, value
+
+
+def _heading(tag: str) -> int:
+    return int(tag[1]) if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456" else 0
+
+
+def _grouped(heard: Iterator[tuple[str, str]]) -> list[tuple[int, str]]:
+    """(level, text) of each heading and of each stretch of text between headings. A heading that isn't closed is dropped."""
+    out: list[tuple[int, str]] = []
+    level, texts = 0, []
+
+    def end(as_level: int) -> None:
+        if as_level:
+            # Symbols of icon fonts are private characters.
+            one = "".join(c for c in "".join(texts) if unicodedata.category(c) not in ("Co", "Cc", "Cf"))
+            whole = " ".join(one.split())
+        else:
+            whole = "\n".join(x for x in (t.strip() for t in texts) if x)
+        if whole:
+            out.append((as_level, whole))
+        texts.clear()
+
+    for what, value in heard:
+        if what == "text":
+            texts.append(value)
+        elif what == "leave":
+            if level:
+                texts.clear()
+            level = 0
+            end(0)
+        elif what == "open" and not level and _heading(value):
+            end(0)
+            level = _heading(value)
+        elif what == "close" and level and _heading(value):
+            end(level)
+            level = 0
+    if not level:
+        end(0)
+    return out
+
+
+def blocks(html: str | None, roots: tuple[str, ...]) -> list[tuple[int, str]]:
+    """(level, text) of a page; level 0 is text. The page is read once; the first of the roots with any block counts, then body."""
+    page = _Events()
+    page.feed(html or "")
+    page.close()
+    return next((b for b in (_grouped(_heard(page.events, r)) for r in (*roots, "body")) if b), [])
 
 
 def page_blocks(pages: DataFrame, key: str, html: str, rule: Rule) -> DataFrame:

@@ -1,6 +1,7 @@
 """Problems 2 to 6 against plain Python on a given small scale, and on small tables with every kind of odd row."""
 
 import datetime as dt
+import json
 import os
 from collections import Counter
 
@@ -171,6 +172,10 @@ def test_dewey_labels():
     out = list(dewey.walk(value, frozenset({"$.m"})))
     assert [(x[0], x[1]) for x in out] == [("1", "$"), ("1.1", "$.a"), ("1.1.1", "$.a[]"), ("1.1.2", "$.a[]"), ("1.1.3", "$.a[]"), ("1.1.3.1", "$.a[].y"), ("1.2", "$.m"), ("1.2.1", "$.m.*")]
     assert out[-1][2:] == ("k1", {"q": "2"})
+    wrapped = '{"a": 1}'
+    for _ in range(8):
+        wrapped = json.dumps(wrapped)
+    assert dewey.parse(wrapped) == {"a": 1} and dewey.parse('""') is None and dewey.parse('"x"') is None
     assert dewey.parse('"{\\"a\\": 1}"') == {"a": 1} and dewey.parse("﻿[]") == [] and dewey.parse("{") is None and dewey.parse(None) is None
 
 
@@ -208,6 +213,14 @@ def test_counts_are_maintained_from_deltas(spark):
     assert {tuple(r) for r in two.collect()} == {tuple(r) for r in references.merge_counts(a.unionByName(b)).collect()}
 
 
+def test_orphans_of_a_key_that_comes_back(spark):
+    there = spark.createDataFrame([("t", "k", at(1), at(3)), ("t", "k", at(6), None), ("t", "x", at(9), None), ("t", "z", None, None)], "target_table string, key string, at timestamp, gone_at timestamp")
+    refs = spark.createDataFrame([(f"{k}{h}", 0, "f", "t", k, "p", at(h)) for k, h in [("k", 0), ("k", 1), ("k", 2), ("k", 3), ("k", 5), ("k", 6), ("k", 7), ("x", 8), ("x", 9), ("y", 5), ("z", 5)]],
+                                 "event_id string, pos bigint, field string, target_table string, key string, period string, landed_at timestamp")
+    out = {r.event_id: r.kind for r in references.orphans(refs, there).collect()}
+    assert out == {"k0": "late", "k3": "deleted", "k5": "deleted", "x8": "late", "y5": "missing", "z5": "missing"}
+
+
 def test_orphan_keys_of_the_tables(spark):
     ev, man, src = (read(spark, SF, t) for t in ("change_events", "manifests", "sources"))
     first = lambda rows, k: {r[k]: r for r in sorted((r for r in rows if r[k] is not None), key=lambda r: (r.landed_at, r.row_id), reverse=True)}

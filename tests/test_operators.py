@@ -253,22 +253,27 @@ def test_guards(spark):
     assert {tuple(r) for r in guards.rewrites(w, ["events/"]).collect()} == {("M", "events/b"), ("R", "events/c")}
 
 
-ROBOTS = "User-agent: *\nDisallow: /private\nAllow: /private/open\n\nUser-agent: Bot\nUser-agent: other\nDisallow: /\nCrawl-delay: 5\nContent-Signal: search=yes, ai-train=no\nContent-Signal: ai-train=yes # later\n"
+ROBOTS = "User-agent: *\nDisallow: /private\nAllow: /private/open\n\nUser-agent: Bot\nUser-agent: other\nDisallow: /\nCrawl-delay: 5\nContent-Signal: search=yes, ai-train=no\nContent-Signal: ai-train=yes # later\nUser-agent: star\nDisallow: /*.pdf$\nDisallow: /a/*/private\n"
 
 
-@pytest.mark.parametrize("agent, path, allowed", [("x", "/a", True), ("x", "/private/a", False), ("x", "/private/open/a", True), ("mybot/1", "/a", False)])
+@pytest.mark.parametrize("agent, path, allowed", [("x", "/a", True), ("x", "/private/a", False), ("x", "/private/open/a", True), ("BOT/1 (x)", "/a", False), ("mybot/1", "/a", True), ("star", "/x/a.pdf", False), ("star", "/x/a.pdf?b", True), ("star", "/docs", True), ("star", "/a/1/private", False), ("star", "/a/1/public", True)])
 def test_stances(spark, agent, path, allowed):
     d = spark.createDataFrame([("h", ROBOTS, path), ("g", None, path)], "host string, t string, p string")
     out = {r.host: r.stance for r in watch.stances(d, "t", "p", agent).collect()}
     assert out["h"].allowed == allowed and out["g"].allowed and out["g"].rules == []
-    if agent == "mybot/1":
+    if agent == "BOT/1 (x)":
         assert out["h"].crawl_delay == "5" and out["h"].signals == {"search": "yes", "ai-train": "yes"}
 
 
+def test_stance_of_a_host_without_file(spark):
+    d = spark.createDataFrame([(404, None, True), (503, ROBOTS, False), (None, None, False), (200, "", True)], "s int, t string, want boolean")
+    assert all(r.stance.allowed == r.want for r in watch.stances(d.withColumn("p", F.lit("/a")), "t", "p", "x", "s").collect())
+
+
 def test_watch(spark):
     d = spark.createDataFrame([("h", ROBOTS, "/a")], "host string, t string, p string")
     a, b = watch.stances(d, "t", "p", "x"), watch.stances(d, "t", "p", "bot")
-    assert {r.field for r in watch.stance_changes(a, b).collect()} == {"allowed", "rules", "crawl_delay", "signals"} and watch.stance_changes(a, a).count() == 0
+    assert {r.field for r in watch.stance_changes(a, b).collect()} == {"allowed", "rules", "crawl_delay"} and watch.stance_changes(a, a).count() == 0
     s = spark.createDataFrame([(200, "ok"), (404, "absent"), (429, "unreachable"), (503, "unreachable"), (None, "unreachable")], "s int, w string")
     assert all(r.g == r.w for r in s.select(watch.fetched_as(F.col("s")).alias("g"), "w").collect())
     x = spark.createDataFrame([("One. The Service is excluded! Two? the excluded service.",)], "t string")

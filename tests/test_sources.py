@@ -72,7 +72,27 @@ def test_service_events(spark):
 def test_graph(spark):
     flat = [{"data": 1}, ["ShallowReactive", 2], {"unresolved-incidents-p": 3, "other": 3}, {"incidents": 4}, [5], {"id": 6, "status": 7, "createdAt": 8, "services": 9}, "i1", " INVESTIGATING ", "2026-01-01", [10, 10], {"name": 11}, "api"]
     assert [(r.id, r.status, r.updated_at, r.components) for r in normalize.graph_incidents(payload(spark, flat)).collect()] == [("i1", "investigating", "2026-01-01", ["api"])]
-    assert normalize.resolve_graph([[0]]) is not None and normalize.graph_incidents(payload(spark, "[]")).count() == 0
+    assert normalize.unflattened([[0]]) == [None] and normalize.graph_incidents(payload(spark, "[]")).count() == 0
+
+
+def test_unflattened():
+    f = normalize.unflattened
+    assert f([{"a": 1, "b": [9], "c": True}, [2, 2, 3], "x", ["Ref", 2]]) == {"a": ["x", "x", "x"]}
+    assert f([{"self": 0, "gone": 7, "loop": 1}, ["Ref", 2], ["Ref", 1]]) == {"self": None, "gone": None, "loop": None}
+    assert f([]) is None and f(["Ref", 1]) == "Ref" and f([["Ref", 1], 5]) == 5 and f([{"u": -1}]) == {"u": None}
+    deep = [[i + 1] for i in range(5000)] + ["end"]
+    v = f(deep)
+    for _ in range(5000):
+        v = v[0]
+    assert v == "end"
+
+
+def test_blocks():
+    b = lambda h, *roots: pages.blocks(h, roots)
+    assert b("<main><h2>A\ue000 b</h2><iframe>z</iframe><template><p>c</p></template><button>d</button></main>", "main") == [(2, "A b"), (0, "c\nd")]
+    assert b("<body><article></article><main>x</main></body>", "article", "main") == [(0, "x")] and b("<body>y</body>", "main") == [(0, "y")] and b(None) == []
+    assert b("<main>a<main>b</main>c</main>d<main>e<h3>lost</main>", "main") == [(0, "a\nb\nc"), (0, "e")]
+    assert b("<div class='x doc-1'>a<nav><nav>m</nav>n</nav><h1>t</h1></div>", ".doc") == [(0, "a"), (1, "t")]
 
 
 def test_price_list(spark):
