@@ -1,65 +1,84 @@
 """Free-entered names mapped to the entries of a reference list (problem 1).
 
 Method: token-level repair and soft TF-IDF. Each distinct token is joined to the list's vocabulary by edit distance (over
-strings with one character left out, so that the join is by equality); the corrected tokens of a name are weighed
-against those of complete entries, and the best entry counts only if all its tokens agree.
+strings with one character left out, so that the join is by equality) and, for short forms, by its first letter. A
+token may have several corrections; of the entries that agree with a name in all tokens under some choice of them, the
+one with the highest soft TF-IDF counts.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronodiff.operators.joins import bounded, skew_left_join
-from chronodiff.session import kept
+from chronodiff.operators.joins import bounded
 
 UNMATCHED = "UNMATCHED"
-# Words of a meter's name that say nothing about the model (direction, scope, tier, unit).
+#: Words of a meter's name that say nothing about the model (direction, scope, tier, unit); a parameter of :func:`map_names`.
 NOISE = """inp input in out outp opt output cached cchd cache gl glbl global rgnl regional region dz dzone data zone
  batch btch flex pp priority prio standard std tokens token tok per thousand million k m""".split()
-# Short forms of variant words.
-SHORT = {"mni": "mini", "sml": "small", "sm": "small", "lrg": "large", "lg": "large", "flsh": "flash", "fl": "flash", "cdr": "coder", "inst": "instruct", "instr": "instruct", "prev": "preview", "pvw": "preview", "prvw": "preview", "thnk": "thinking", "think": "thinking", "lt": "lite", "nn": "nano", "nno": "nano"}
-#: Words shorter than this must be exact.
+#: Words shorter than this must be exact, or a short form.
 REPAIR_LENGTH = 5
 #: A provider may be shortened to so many letters.
 PROVIDER_LETTERS = 4
+#: Most entries of a reference list: it is known to every worker.
+LIST_ROWS = 100_000
 
-_UNIT = re.compile(r"\(\s*per [^)]*\)|\bper (?:\d+ ?[km]? ?|thousand |million )?tok\w*|/ ?\d* ?[km]? ?tok\w*|\b\d+ ?[km]\b ?(?:tok\w*)?|\b[km]?tok\w*")
+_UNIT = re.compile(r"\(\s*per [^)]*\)|\bper (?:\d+ ?[km]? ?|thousand |million )?tok\w*|\bper \d+ ?[km]\b|/ ?\d* ?[km]? ?tok\w*|(?<![\d.])\d+(?: ?[km] |[km])tok\w*|\b[km]?tok\w*")
 _DATE = re.compile(r"\b20\d\d-\d\d-\d\d\b|(?<![\d.])\d{4,}(?![\d.])")
-_TOKEN = re.compile(r"\d+(?:[.p]\d+)*|[^\W\d_]+|[?*#]+")
+_TOKEN = re.compile(r"\d+(?:\.\d+)?(?:x\d+(?:\.\d+)?)?b(?![^\W\d_])|\d+ ?[km](?![^\W\d_])|\d+(?:[.p]\d+)*|[^\W\d_]+|[?*#]+")
+_V = re.compile(r"\bv[ .\-]?(?=\d)")
+_SPACE = re.compile(r"[\s_]+")
 
 
 def plain(text: str) -> str:
     """Lower case without accents, compatible forms (wide digits and the like) replaced, blanks and underscores one space."""
-    t = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", text).lower())
-    return re.sub(r"[\s_]+", " ", "".join(c for c in t if not unicodedata.combining(c))).strip()
+    if not text.isascii():
+        t = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", text).lower())
+        text = "".join(c for c in t if not unicodedata.combining(c))
+    return _SPACE.sub(" ", text.lower()).strip()
 
 
-def words_and_version(text: str | None) -> list[str]:
-    """The words of a name in order, then `#` and its version. Units, date codes and the v of a version are left out.
+def tokens_of(text: str | None, contexts: frozenset[str] = frozenset()) -> list[str]:
+    """The tokens of a name in order: words, and behind them numbers with their role, which begin with `#`.
 
-    Null and blank names have no tokens. Numbers that make no single version give the version `?`.
+    Roles: a version `#1.5` (whole numbers next to each other are one version, `.0` at its end doesn't count), a size
+    `#70b` or `#8x7b`, a context `#32k`. A number that comes again is a token of its own. Units, date codes and the v of
+    a version are left out; so are 1, 10, 100 or 1000 k or m, as units, unless they are among ``contexts``. Null and blank names have no
+    tokens.
     """
-    t = _UNIT.sub(" ", plain(text or ""))
-    t = re.sub(r"\bv[ .\-]?(?=\d)", " ", _DATE.sub(" ", t))
-    words, numbers, last = [], [], None
+    t = _V.sub(" ", _DATE.sub(" ", _UNIT.sub(" ", plain(text or ""))))
+    words: list[str] = []
+    numbers: list[str] = []
+    last, whole = -2, False
     for i, m in enumerate(_TOKEN.findall(t)):
-        if m[0].isdigit():
-            numbers.append((i, m.replace("p", ".")))
-        else:
+        if not m[0].isdigit():
             words.append(m)
-    if len(numbers) == 2 and numbers[1][0] == numbers[0][0] + 1 and all(n.isdigit() for _, n in numbers):
-        numbers = [(0, f"{numbers[0][1]}.{numbers[1][1]}")]
-    if len(numbers) > 1:
-        return [*words, "#?"]
-    for _, n in numbers:
-        words.append("#" + (re.sub(r"(?:\.0+)+$", "", n)))
+        elif m[-1] in "kmb":
+            n = m.replace(" ", "")
+            if m[-1] == "b" or n in contexts or n[:-1] not in ("1", "10", "100", "1000"):
+                numbers.append(n)
+        elif whole and i == last + 1 and m.isdigit():
+            numbers[-1] += f".{m}"
+            last = i
+        else:
+            numbers.append(m.replace("p", "."))
+            last, whole = i, m.isdigit()
+    seen: Counter = Counter()
+    for n in numbers:
+        n = n if n[-1] in "kmb" else re.sub(r"(?:\.0+)+$", "", n)
+        words.append(f"#{n}" + "'" * seen[n])
+        seen[n] += 1
     return words
 
 
@@ -68,42 +87,79 @@ def bare(word: str) -> str:
     return word[:1] + re.sub("[aeiou]", "", word[1:])
 
 
-def vocabulary(entries: list[dict]) -> tuple[dict[str, tuple[str, str, bool]], dict[str, frozenset[str]]]:
-    """(word -> (kind, token, repaired), canonical_id -> tokens) of the reference list; kinds: family, variant, alias, noise.
+@dataclass
+class Lexicon:
+    """What the reference list knows: its words, the bags of tokens that denote its entries, and the weights of tokens."""
+
+    #: word -> (kind, token, whether it may be misspelled); kinds: family, variant, alias, noise.
+    words: dict[str, tuple[str, str, bool]] = field(default_factory=dict)
+    #: bag of tokens -> the entry it denotes, None if it is that of several.
+    bags: dict[frozenset[str], str | None] = field(default_factory=dict)
+    contexts: frozenset[str] = frozenset()
+    weights: dict[str, float] = field(default_factory=dict)
+    #: token -> bags that hold it.
+    index: dict[str, set[frozenset[str]]] = field(default_factory=lambda: defaultdict(set))
+
+
+def _alias_part(alias: str) -> str:
+    """The model's part of an id: behind the provider, before a tag and a revision."""
+    return re.sub(r"-v\d+$", "", re.sub(r"^[a-z]+\.(?=[a-z])", "", plain(alias).split("/")[-1].split(":")[0]))
 
-    Abbreviated words aren't repaired: they lie too close to each other.
+
+def lexicon(entries: list[dict], noise: list[str] | tuple[str, ...] = NOISE) -> Lexicon:
+    """The lexicon of entries (canonical_id, display_name, provider, aliases).
+
+    A display name's bag goes before one that is only an alias'. A bag of several entries denotes none of them:
+    :func:`shared_bags` lists those.
     """
-    words: dict[str, tuple[str, str, bool]] = {}
-    tokens: dict[str, frozenset[str]] = {}
-    families = {words_and_version(e["display_name"])[0] for e in entries if words_and_version(e["display_name"])}
-    variants = set()
-    for e in entries:
-        name = words_and_version(e["display_name"])
-        tokens[e["canonical_id"]] = frozenset(name)
-        variants |= {w for w in name[1:] if w[0] != "#"}
-    for p in {e["provider"] for e in entries if e["provider"]}:
-        words[plain(p)[:PROVIDER_LETTERS]] = ("noise", "", False)
-        words[plain(p)] = ("noise", "", True)
-    for w in NOISE:
-        words[w] = ("noise", "", True)
-    for short, v in SHORT.items():
-        if v in variants:
-            words[short] = ("variant", v, False)
-    for v in variants:
-        words[v] = ("variant", v, True)
-    for f in families:
-        words.setdefault(bare(f), ("family", f, False))
-        words[f] = ("family", f, True)
+    x = Lexicon()
+    x.contexts = frozenset(t.strip("#'") for e in entries for t in tokens_of(e["display_name"]) if t[0] == "#" and t[-1] in "km")
+    x.contexts |= frozenset(m.replace(" ", "") for e in entries for m in re.findall(r"(?<![\d.])1(?:0{0,3}) ?[km](?![a-z])", plain(e["display_name"] or "")))
+    names = {e["canonical_id"]: tokens_of(e["display_name"], x.contexts) for e in entries}
+    families = {n[0] for n in names.values() if n and n[0][0] != "#"}
+    variants = {w for n in names.values() for w in n[1:] if w[0] != "#"}
+    for p in sorted({plain(e["provider"]) for e in entries if e["provider"]}):
+        x.words[p[:PROVIDER_LETTERS]] = ("noise", "", False)
+        for w in [p, *tokens_of(p)]:
+            x.words[w] = ("noise", "", True)
+    for w in noise:
+        x.words[w] = ("noise", "", True)
+    for v in sorted(variants):
+        x.words[v] = ("variant", v, True)
+    for f in sorted(families):
+        x.words.setdefault(bare(f), ("family", f, False))
+        x.words[f] = ("family", f, True)
+
+    def put(bag: frozenset[str], entry: str, into: dict) -> None:
+        into[bag] = entry if into.get(bag, entry) == entry else None
+
+    shown: dict[frozenset[str], str | None] = {}
+    also: dict[frozenset[str], str | None] = {}
+    for i, n in names.items():
+        if n:
+            put(frozenset(n), i, shown)
     for e in entries:
-        for names in (e["aliases"] or {}).values():
-            for a in names or []:
-                # The model's part of an id: behind the provider, before a tag.
-                part = re.sub(r"^[a-z]+\.(?=[a-z])", "", plain(a).split("/")[-1].split(":")[0])
-                ws = [w for w in words_and_version(re.sub(r"-v\d+$", "", part)) if w[0] != "#"]
-                if ws and not families & set(ws) and not set(ws) <= set(words):
-                    words.setdefault("".join(ws), ("alias", "@" + e["canonical_id"], True))
-                    words.setdefault(bare("".join(ws)), ("alias", "@" + e["canonical_id"], False))
-    return words, tokens
+        for alias in sorted({_alias_part(a) for group in (e["aliases"] or {}).values() for a in group or [] if a}):
+            tokens = tokens_of(alias, x.contexts)
+            said = [w for w in tokens if w[0] != "#"]
+            if not said or all(x.words.get(w, ("",))[0] == "noise" for w in said):
+                continue
+            put(frozenset(tokens), e["canonical_id"], also)
+            if not families & set(said):
+                whole = "".join(said)
+                for w in {*said, whole}:
+                    x.words.setdefault(w, ("alias", w, True))
+                    x.words.setdefault(bare(w), ("alias", w, False))
+                put(frozenset({whole, *(t for t in tokens if t[0] == "#")}), e["canonical_id"], also)
+                # A name of its own needs no version.
+                put(frozenset({whole}), e["canonical_id"], also)
+    x.bags = also | shown
+    df = Counter(t for bag in x.bags for t in bag)
+    x.weights = {t: math.log(1 + len(x.bags) / n) for t, n in df.items()}
+    for bag in x.bags:
+        for t in bag:
+            x.index[t].add(bag)
+    return x
 
 
 def _dropped(word: Column) -> Column:
@@ -118,106 +174,155 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 
 def repairs(tokens: DataFrame, words: dict[str, tuple[str, str, bool]]) -> DataFrame:
-    """(token, kind, value, sim) of each distinct token within one edit of one word of the vocabulary.
+    """(token, kind, value, sim): the corrections of each distinct token.
 
-    A token near words of different meaning is left out, as are words and tokens shorter than REPAIR_LENGTH, unless
-    they are equal. The result is bounded by the vocabulary: about ``53 n + 25`` strings lie within one edit of a word
-    of n letters.
+    An exact word has itself alone. Another of at least REPAIR_LENGTH - 1 letters has every word of at least
+    REPAIR_LENGTH within one edit, each with its similarity. One that is left, of two letters or more, is the short form of a
+    variant word if it has that word's first letter and its letters in their order, and no other variant word does.
     """
     spark = tokens.sparkSession
-    vocab = spark.createDataFrame([(w, *x) for w, x in words.items()], "word string, kind string, value string, repaired boolean")
-    near = vocab.where(F.col("repaired") & (F.length("word") >= REPAIR_LENGTH)).select("*", F.explode(_dropped(F.col("word"))).alias("_key"))
-    t = tokens.where(F.length("token") >= REPAIR_LENGTH - 1).select("token", F.explode(_dropped(F.col("token"))).alias("_key"))
-    c = t.join(F.broadcast(near), "_key").select("token", "word", "kind", "value").distinct().where(_one_edit(F.col("token"), F.col("word")))
-    exact = tokens.join(F.broadcast(vocab), tokens.token == vocab.word).select("token", "kind", "value", F.lit(1.0).alias("sim"))
-    sim = 1 - 1 / F.greatest(F.length("token"), F.length("word"))
-    c = c.where(F.col("token") != F.col("word")).groupBy("token").agg(F.count_distinct("kind", "value").alias("_n"), F.max(F.struct(sim.alias("sim"), "kind", "value")).alias("_b"))
-    c = c.where("_n = 1").select("token", "_b.kind", "_b.value", "_b.sim").join(F.broadcast(vocab.select(F.col("word").alias("token"))), "token", "left_anti")
-    return exact.unionByName(c)
+    vocab = spark.createDataFrame([(w, *v) for w, v in words.items()], "word string, kind string, value string, repaired boolean")
+    # Some 50 strings a word of a list of at most LIST_ROWS entries.
+    near = bounded(vocab.where(F.col("repaired") & (F.length("word") >= REPAIR_LENGTH)).select("*", F.explode(_dropped(F.col("word"))).alias("_key")))
+    exact = tokens.join(bounded(vocab), F.col("token") == F.col("word")).select("token", "kind", "value", F.lit(1.0).alias("sim"))
+    new = tokens.join(bounded(vocab.select(F.col("word").alias("token"))), "token", "left_anti")
+    t = new.where(F.length("token") >= REPAIR_LENGTH - 1).select("token", F.explode(_dropped(F.col("token"))).alias("_key"))
+    c = t.join(near, "_key").select("token", "word", "kind", "value").distinct().where(_one_edit(F.col("token"), F.col("word")))
+    close = c.groupBy("token", "kind", "value").agg(F.max(1 - 1 / F.greatest(F.length("token"), F.length("word"))).alias("sim"))
+    variants = bounded(vocab.where("kind = 'variant'").select("word", "value"))
+    short = new.where(F.col("token").rlike("^[a-z]{2,}$")).join(close.select("token"), "token", "left_anti")
+    letters = F.concat(F.lit("^"), F.regexp_replace("token", "(.)", "$1.*"))
+    short = short.join(variants, (F.substring("token", 1, 1) == F.substring("word", 1, 1)) & (F.length("token") < F.length("word"))).where(F.regexp_like("word", letters))
+    short = short.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.max("value").alias("value"), F.max(F.length("token") / F.length("word")).alias("sim")).where("_n = 1")
+    return exact.unionByName(close).unionByName(short.select("token", F.lit("variant").alias("kind"), "value", "sim"))
+
+
+class Matcher:
+    """Names to entries, with what is known of their tokens; equal names are looked up once."""
+
+    def __init__(self, lex: Lexicon, known: dict[str, list[tuple[str, str, float]]], remembered: int = 200_000):
+        self.lex, self.known, self.remembered = lex, known, remembered
+        self.seen: dict[str, str] = {}
+
+    def __call__(self, name: str) -> str:
+        got = self.seen.get(name)
+        if got is None:
+            got = self.best(tokens_of(name, self.lex.contexts)) or UNMATCHED
+            if len(self.seen) >= self.remembered:
+                self.seen.clear()
+            self.seen[name] = got
+        return got
+
+    def units(self, tokens: list[str]) -> list[list[tuple[str, str, float]]] | None:
+        """The corrections of each token; None if one has none. Two neighbours of which one is unknown are taken as one word that was split, if that is known."""
+        words, known, out, i = [t for t in tokens if t[0] != "#"], self.known, [], 0
+        while i < len(words):
+            got, step = known.get(words[i]), 1
+            if i + 1 < len(words) and (got is None or words[i + 1] not in known):
+                joined = [c for c in known.get(words[i] + words[i + 1], ()) if c[0] in ("family", "alias")]
+                if joined:
+                    got, step = joined, 2
+            if not got:
+                return None
+            out.append(got)
+            i += step
+        return out + [[("number", t, 1.0)] for t in tokens if t[0] == "#"]
+
+    def best(self, tokens: list[str]) -> str | None:
+        """The entry with the highest soft TF-IDF among those that agree in all tokens; None without one, or if the best are several."""
+        units = self.units(tokens)
+        if not units:
+            return None
+        bags: set[frozenset[str]] | None = None
+        for u in units:
+            if not any(kind == "noise" for kind, _, _ in u):
+                of = set().union(*(self.lex.index.get(v, ()) for _, v, _ in u))
+                bags = of if bags is None else bags & of
+                if not bags:
+                    return None
+        scores: dict[str | None, float] = {}
+        for bag in bags or ():
+            sims: dict[str, float] = {}
+            for u in units:
+                in_bag = [(s, v) for _, v, s in u if v in bag]
+                if in_bag:
+                    s, v = max(in_bag)
+                    sims[v] = max(sims.get(v, 0.0), s)
+            if len(sims) == len(bag):
+                w = self.lex.weights
+                norm = sum(w[t] ** 2 for t in bag)
+                entry = self.lex.bags[bag]
+                # The soft cosine: both bags have the same tokens, so the norms are equal. Ties go to the bag that says more.
+                scores[entry] = max(scores.get(entry, (0.0, 0.0)), (sum(s * w[t] ** 2 for t, s in sims.items()) / norm, norm))
+        if not scores:
+            return None
+        top = max(scores.values())
+        winners = [e for e, s in scores.items() if s == top]
+        return winners[0] if len(winners) == 1 else None
 
 
-def _tokenised(names: Column) -> Column:
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(s: pd.Series) -> pd.Series:
-        return s.map(words_and_version)
+def _listed(reference: DataFrame) -> list[dict]:
+    got = reference.select("canonical_id", "display_name", "provider", "aliases").where(F.col("canonical_id").isNotNull()).limit(LIST_ROWS + 1).collect()
+    if len(got) > LIST_ROWS:
+        raise ValueError(f"a reference list of more than {LIST_ROWS} entries can't be known to every worker")
+    return [r.asDict() for r in got]
 
-    return split(names)
 
+def shared_bags(reference: DataFrame, noise: list[str] | tuple[str, ...] = NOISE) -> DataFrame:
+    """(tokens): bags that are those of several entries; names with them are UNMATCHED."""
+    lex = lexicon(_listed(reference), noise)
+    return reference.sparkSession.createDataFrame([(" ".join(sorted(b)),) for b, e in lex.bags.items() if e is None], "tokens string")
 
-def signature(tokens: list[str], known: dict[str, tuple[str, str, float]]) -> str | None:
-    """The corrected tokens of a name with their similarities, sorted; None if a token stays unknown.
 
-    Two neighbours of which one is unknown are taken as one word that was split, if that is known.
-    """
-    words, out, i = [t for t in tokens if t[0] != "#"], {}, 0
-    while i < len(words):
-        got, step = known.get(words[i]), 1
-        if i + 1 < len(words) and (got is None or words[i + 1] not in known):
-            joined = known.get(words[i] + words[i + 1])
-            if joined is not None and joined[0] in ("family", "alias"):
-                got, step = joined, 2
-        if got is None:
-            return None
-        if got[0] != "noise":
-            out[got[1]] = max(out.get(got[1], 0.0), got[2])
-        i += step
-    out |= {t: 1.0 for t in tokens if t[0] == "#"}
-    return " ".join(f"{t}~{s:.3f}" for t, s in sorted(out.items()))
+def distinct_tokens(rows: DataFrame, name: str, contexts: frozenset[str]) -> DataFrame:
+    """(token): the words of all names, and neighbours joined; distinct in a batch before they shuffle."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[str] = set()
+        for b in batches:
+            out: set[str] = set()
+            for n in set(b.column(0).to_pylist()):
+                w = [t for t in tokens_of(n, contexts) if t[0] != "#"]
+                out.update(w)
+                out.update(map("".join, zip(w, w[1:])))
+            out -= given
+            given = given | out if len(given) < 1_000_000 else out
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(out), pa.string())], names=["token"])
 
-def _signed(tokens: Column, known: dict[str, tuple[str, str, float]]) -> Column:
-    @F.pandas_udf(T.StringType())
-    def sign(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            yield s.map(lambda t: signature(list(t), known))
-
-    return sign(tokens)
-
-
-def rank(signatures: DataFrame, entries: dict[str, frozenset[str]]) -> DataFrame:
-    """(signature, canonical_id): the entry with the highest soft TF-IDF, if all its tokens are those of the name."""
-    spark = signatures.sparkSession
-    bags = [(i, t) for i, ts in entries.items() for t in [*ts]] + [(f"@{i}", f"@{i}") for i in entries]
-    index = spark.createDataFrame(bags, "entry string, token string")
-    df = index.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
-    index = index.join(df, "token").withColumn("w", F.log(1 + F.lit(len(entries)) / F.col("_df"))).drop("_df")
-    norm = index.groupBy("entry").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.count(F.lit(1)).alias("size"))
-    index = F.broadcast(index.join(norm, "entry"))
-    parts = signatures.select("signature", F.explode(F.split("signature", " ")).alias("_p"), F.size(F.split("signature", " ")).alias("n"))
-    parts = parts.select("signature", "n", F.split_part("_p", F.lit("~"), F.lit(1)).alias("token"), F.split_part("_p", F.lit("~"), F.lit(2)).cast("double").alias("sim"))
-    s = parts.join(index, "token").groupBy("signature", "entry").agg((F.sum(F.col("sim") * F.col("w") * F.col("w")) / F.max("norm")).alias("score"), F.count(F.lit(1)).alias("hit"), F.max("n").alias("n"), F.max("size").alias("size"))
-    best = s.groupBy("signature").agg(F.max_by(F.struct("entry", "hit", "n", "size"), F.struct("score", -F.col("size"), "entry")).alias("b"))
-    return best.where((F.col("b.hit") == F.col("b.n")) & (F.col("b.hit") == F.col("b.size"))).select("signature", F.regexp_replace("b.entry", "^@", "").alias("canonical_id"))
-
-
-def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name: str = "meter_name") -> DataFrame:
+    return rows.select(name).where(F.col(name).isNotNull()).mapInArrow(run, "token string").distinct()
+
+
+def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name: str = "meter_name", noise: list[str] | tuple[str, ...] = NOISE) -> DataFrame:
     """(key, canonical_id) of each row whose name isn't null; UNMATCHED where it denotes no entry.
 
-    A name denotes an entry if its family, version and variant words are all those of the entry, or if it is an alias
-    name of it. Spelling within one edit, order, split words, accents, and the words for provider, direction, scope,
-    tier, date code and unit don't matter; any other word makes it UNMATCHED, as do a blank name and a missing version.
+    A name denotes an entry if its family, numbers and variant words are all those of the entry, or if it is an alias
+    name of it. Spelling within one edit, short forms, order, split words, accents, ``noise`` words, and those for provider, date code
+    and unit don't matter; any other word makes it UNMATCHED, as do a blank name, a missing version, and tokens that
+    fit several entries equally well.
 
-    The reference list (hundreds of entries) and the repaired tokens (bounded by it) are small and known to every
-    worker; rows are never shuffled, only distinct tokens and distinct signatures are.
+    Rows never shuffle, only distinct tokens do. The reference list (at most LIST_ROWS entries, else this raises) and the
+    corrections of tokens (bounded by the list's words, checked) are known to all workers.
     """
-    words, entries = vocabulary([r.asDict() for r in reference.select("canonical_id", "display_name", "provider", "aliases").collect()])
-    r = kept(rows.where(F.col(name).isNotNull()).select(F.col(key).alias("_key"), _tokenised(F.col(name)).alias("_tokens")))
-    spans = F.concat("_w", F.transform(F.sequence(F.lit(0), F.size("_w") - 2), lambda i: F.concat(F.get("_w", i), F.get("_w", i + 1))))
-    w = r.select(F.filter("_tokens", lambda t: ~t.startswith("#")).alias("_w"))
-    distinct = kept(w.select(F.explode(F.when(F.size("_w") > 1, spans).otherwise(F.col("_w"))).alias("token")).distinct())
-    bound = sum(53 * len(x) + 26 for x in words)
-    fixed = repairs(distinct, words).limit(bound + 1).collect()
+    lex = lexicon(_listed(reference), noise)
+    # Strings within one edit of a word of n letters, and short forms of it.
+    bound = sum(53 * len(w) + 27 + 2 ** min(len(w), 12) for w in lex.words)
+    fixed = repairs(distinct_tokens(rows, name, lex.contexts), lex.words).limit(bound + 1).collect()
     if len(fixed) > bound:
-        raise ValueError("more repaired tokens than lie within one edit of the vocabulary")
-    known = {x.token: (x.kind, x.value, x.sim) for x in fixed}
-    signed = kept(r.select("_key", _signed(F.col("_tokens"), known).alias("signature")))
-    ranked = kept(rank(signed.where(F.col("signature").isNotNull()).select("signature").distinct(), entries))
-    small = bounded(ranked)
-    joined = signed.join(small, "signature", "left") if small is not ranked else skew_left_join(signed, ranked, ["signature"])
-    return joined.select(F.col("_key").alias(key), F.coalesce("canonical_id", F.lit(UNMATCHED)).alias("canonical_id"))
+        raise ValueError("more corrections than the list's words can have")
+    known: dict[str, list[tuple[str, str, float]]] = defaultdict(list)
+    for x in fixed:
+        known[x.token].append((x.kind, x.value, x.sim))
+    matcher = Matcher(lex, dict(known))
+
+    @F.pandas_udf(T.StringType())
+    def match(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in names:
+            yield s.map(matcher)
+
+    return rows.where(F.col(name).isNotNull()).select(F.col(key), match(F.col(name)).alias("canonical_id"))
 
 
 def unmatched(rows: DataFrame, mapped: DataFrame, key: str = "row_id", name: str = "meter_name") -> DataFrame:
-    """(name, n): the names that denote no entry, with their numbers of rows."""
+    """(name, n): the names that denote no entry, with their numbers of rows; counted before the shuffle."""
     u = mapped.where(F.col("canonical_id") == UNMATCHED).select(key)
     return rows.join(u, key).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
