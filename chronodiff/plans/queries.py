@@ -36,6 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_zones": _tables("openrouter_models", "statuspage_incidents", "azure_retail_prices", "change_events", "sources")(
         lambda m, s, a, e, src: instants.zone_report(instants.values(m, s, a, e), src)
     ),
+    "p5_estimated": _tables("openrouter_models", "statuspage_incidents", "azure_retail_prices", "change_events", "sources")(
+        lambda m, s, a, e, src: instants.normalise(instants.values(m, s, a, e), src, estimate=True).select("record_table", "row_id", "pos", "epoch_us")
+    ),
     "p6_found": _tables("azure_retail_prices", "openrouter_models")(units.micro_prices),
     **REFERENCE,
 }
