@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronodiff.operators.joins import bounded
+from chronodiff.session import kept
 
 UNMATCHED = "UNMATCHED"
 #: Words of a meter's name that say nothing about the model (direction, scope, tier, unit); a parameter of :func:`map_names`.
@@ -37,8 +38,8 @@ LIST_ROWS = 100_000
 _UNIT = re.compile(r"\(\s*per [^)]*\)|\bper (?:\d+ ?[km]? ?|thousand |million )?tok\w*|\bper \d+ ?[km]\b|/ ?\d* ?[km]? ?tok\w*|(?<![\d.])\d+(?: ?[km] |[km])tok\w*|\b[km]?tok\w*")
 _DATE = re.compile(r"\b20\d\d-\d\d-\d\d\b|(?<![\d.])\d{4,}(?![\d.])")
 _TOKEN = re.compile(r"\d+(?:\.\d+)?(?:x\d+(?:\.\d+)?)?b(?![^\W\d_])|\d+ ?[km](?![^\W\d_])|\d+(?:[.p]\d+)*|[^\W\d_]+|[?*#]+")
+_ZEROS = re.compile(r"(?:\.0+)+$")
 _V = re.compile(r"\bv[ .\-]?(?=\d)")
-_SPACE = re.compile(r"[\s_]+")
 
 
 def plain(text: str) -> str:
@@ -46,7 +47,7 @@ def plain(text: str) -> str:
     if not text.isascii():
         t = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", text).lower())
         text = "".join(c for c in t if not unicodedata.combining(c))
-    return _SPACE.sub(" ", text.lower()).strip()
+    return " ".join(text.lower().replace("_", " ").split())
 
 
 def tokens_of(text: str | None, contexts: frozenset[str] = frozenset()) -> list[str]:
@@ -57,7 +58,12 @@ def tokens_of(text: str | None, contexts: frozenset[str] = frozenset()) -> list[
     a version are left out; so are 1, 10, 100 or 1000 k or m, as units, unless they are among ``contexts``. Null and blank names have no
     tokens.
     """
-    t = _V.sub(" ", _DATE.sub(" ", _UNIT.sub(" ", plain(text or ""))))
+    t = plain(text or "")
+    if "tok" in t or "per " in t:
+        t = _UNIT.sub(" ", t)
+    t = _DATE.sub(" ", t)
+    if "v" in t:
+        t = _V.sub(" ", t)
     words: list[str] = []
     numbers: list[str] = []
     last, whole = -2, False
@@ -74,11 +80,11 @@ def tokens_of(text: str | None, contexts: frozenset[str] = frozenset()) -> list[
         else:
             numbers.append(m.replace("p", "."))
             last, whole = i, m.isdigit()
-    seen: Counter = Counter()
     for n in numbers:
-        n = n if n[-1] in "kmb" else re.sub(r"(?:\.0+)+$", "", n)
-        words.append(f"#{n}" + "'" * seen[n])
-        seen[n] += 1
+        n = "#" + (_ZEROS.sub("", n) if "." in n else n)
+        while n in words:
+            n += "'"
+        words.append(n)
     return words
 
 
@@ -207,10 +213,14 @@ class Matcher:
     def __call__(self, name: str) -> str:
         got = self.seen.get(name)
         if got is None:
-            got = self.best(tokens_of(name, self.lex.contexts)) or UNMATCHED
+            # Names that differ in what doesn't matter, or in order alone, share their tokens.
+            tokens = tokens_of(name, self.lex.contexts)
+            got = self.seen.get(key := "\t".join(tokens))
+            if got is None:
+                got = self.best(tokens) or UNMATCHED
             if len(self.seen) >= self.remembered:
                 self.seen.clear()
-            self.seen[name] = got
+            self.seen[name] = self.seen[key] = got
         return got
 
     def units(self, tokens: list[str]) -> list[list[tuple[str, str, float]]] | None:
@@ -306,7 +316,9 @@ def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name:
     lex = lexicon(_listed(reference), noise)
     # Strings within one edit of a word of n letters, and short forms of it.
     bound = sum(53 * len(w) + 27 + 2 ** min(len(w), 12) for w in lex.words)
-    fixed = repairs(distinct_tokens(rows, name, lex.contexts), lex.words).limit(bound + 1).collect()
+    tokens = kept(distinct_tokens(rows, name, lex.contexts))
+    fixed = repairs(tokens, lex.words).limit(bound + 1).collect()
+    tokens.unpersist()
     if len(fixed) > bound:
         raise ValueError("more corrections than the list's words can have")
     known: dict[str, list[tuple[str, str, float]]] = defaultdict(list)
