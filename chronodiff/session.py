@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,18 +31,51 @@ def build_session(cpus: int | str = 8, memory: str = "8g", name: str = "chronodi
     )
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back, so that it is computed once and survives lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written intermediate tables: inside the one that the session names in ``spark.checkpoint.dir`` (or has as its checkpoint folder), which all executors share.
 
-    The folder is the session's checkpoint folder, else the one it names in ``spark.checkpoint.dir``; without either this raises.
+    Where none is set, a session on one machine (master ``local``) gets a temporary one; on a cluster this raises. The folder
+    is the session's own and goes when its JVM ends, or earlier by :func:`release`.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared:
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and sc._jsc.sc().getCheckpointDir().isDefined():
+        named = sc._jsc.sc().getCheckpointDir().get()
+    if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+        named = _ALONE.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="chronodiff-"))
+    folder = f"{named.rstrip('/')}/chronodiff-{sc.applicationId}"
+    if folder not in _MARKED:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _MARKED.add(folder)
+    return folder
+
+
+_ALONE: dict[str, str] = {}
+_MARKED: set[str] = set()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written as a table to the shared folder and read from there: computed once, with no lineage, whatever becomes of the executors.
+
+    For a table that several later stages read; they read only its columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the session's written intermediate tables and forgets its kept ones; results that aren't computed yet can't be afterwards."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _MARKED.discard(shared_folder(spark))
+    spark.catalog.clearCache()
 
 
 def kept(df: DataFrame) -> DataFrame:
