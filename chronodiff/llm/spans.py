@@ -3,7 +3,8 @@
 Hashing of lines or paragraphs finds only spans that fill whole lines, and the spans sought start and end anywhere. So the
 units are cut by content instead: a unit is a run of windows of the least length that have the same anchor (the
 smallest hash in them). As with lines, the units' digests are grouped globally, the earliest ranked occurrence is
-known, and the offsets are kept. Units of which only a part is shared, at the ends of a span, are compared window by window.
+known, and the offsets are kept. Units of which only a part is shared, at the ends of a span, are compared with those of the
+same anchor.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronodiff.llm.fingerprints import Hashes, chunks, units
-from chronodiff.operators.joins import skew_left_join
-from chronodiff.session import kept
+from chronodiff.operators.joins import bounded, skew_left_join
+from chronodiff.session import settled
 
 LENGTH = 200
 GRAM = 100
+#: Digests of one anchor that are compared in one place.
+MOST = 1000
 
 
 def _i64(x: np.ndarray) -> pa.Array:
@@ -43,22 +46,104 @@ def content_units(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     return long_enough.select("doc_id", "text").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
-def _windows(rows: DataFrame, length: int) -> DataFrame:
-    """(w1, w2, d1, d2, at, low, high) of every window of the units listed with each text."""
-    names = ["w1", "w2", "d1", "d2", "at", "low", "high"]
+UNIT = ["anchor", "d1", "d2", "low", "high", "n", "text"]
+
+
+def _unit_texts(rows: DataFrame, length: int) -> DataFrame:
+    """UNIT of each unit listed with a text: its keys, how many windows it has, and its own characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for u in parts:
-                    # One unit at a time: a text of any length costs the size of its units.
-                    codes = np.frombuffer(text[u["first"] : u["first"] + u["n"] + length - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
-                    h = Hashes(codes)
-                    n = u["n"]
-                    same = [np.full(n, u[c], np.int64) for c in ("d1", "d2", "low", "high")]
-                    yield pa.RecordBatch.from_arrays([_i64(h.all_of(0, length)), _i64(h.all_of(1, length)), _i64(same[0]), _i64(same[1]), _i64(np.arange(n)), _i64(same[2]), _i64(same[3])], names=names)
+                # One text at a time: its units hold each character at most some times.
+                columns = [[u[c] for u in parts] for c in UNIT[:-1]] + [[text[u["first"] : u["first"] + u["n"] + length - 1] for u in parts]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "text" else pa.int64()) for k, c in zip(UNIT, columns)], names=UNIT)
+
+    return rows.mapInArrow(_merged(run), ", ".join(f"{c} {'string' if c == 'text' else 'bigint'}" for c in UNIT))
+
+
+def _window_rows(units: dict[str, np.ndarray], texts: list[str], length: int) -> tuple[np.ndarray, ...]:
+    """(unit, at, hash1, hash2) of every window of units, whose texts are laid end to end."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    h, n = Hashes(codes), units["n"]
+    begin = np.cumsum(np.array([len(t) for t in texts])) - np.array([len(t) for t in texts])
+    unit = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)
+    where = begin[unit] + at
+    return unit, at, h.all_of(0, length)[where], h.all_of(1, length)[where]
+
+
+def _stretches(units: dict[str, np.ndarray], texts: list[str], length: int) -> list[np.ndarray]:
+    """(d1, d2, low, at, m): the stretches of windows of these units that also occur in a unit of another document; ``low`` the first document."""
+    unit, at, w1, w2 = _window_rows(units, texts, length)
+    order = np.lexsort((w2, w1))
+    a, b = w1[order], w2[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    low = np.minimum.reduceat(units["low"][unit[order]], first)
+    high = np.maximum.reduceat(units["high"][unit[order]], first)
+    shared = (low != high)[group]
+    hit, lows = order[shared], low[group][shared]
+    back = np.argsort(hit)  # windows are numbered by unit and place
+    hit, lows = hit[back], lows[back]
+    if not len(hit):
+        return [np.zeros(0, np.int64)] * 5
+    cut = np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (unit[hit[1:]] != unit[hit[:-1]]) | (lows[1:] != lows[:-1])])
+    i = np.flatnonzero(cut)
+    u = unit[hit[i]]
+    return [units["d1"][u], units["d2"][u], lows[i], at[hit[i]], np.diff(np.append(i, len(hit)))]
+
+
+def _compared(units: DataFrame, length: int) -> DataFrame:
+    """:func:`_stretches` of units, anchor by anchor: rows are brought together and sorted by anchor, and a worker holds one batch and the anchor it ends in."""
+    names = ["d1", "d2", "low", "at", "m"]
+
+    def done(table: pa.Table) -> pa.RecordBatch:
+        columns = {c: table.column(c).to_numpy() for c in UNIT[:-1]}
+        return pa.RecordBatch.from_arrays([_i64(c) for c in _stretches(columns, table.column("text").to_pylist(), length)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if rest is None else pa.concat_tables([rest, t])
+            anchors = t.column("anchor").to_numpy()
+            whole = int(np.argmax(anchors == anchors[-1]))  # rows before the last anchor
+            if whole:
+                yield done(t.slice(0, whole))
+            rest = t.slice(whole)
+        if rest is not None:
+            yield done(rest)
+
+    sorted_ = units.repartition("anchor").sortWithinPartitions("anchor").select(*UNIT)
+    return sorted_.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+
+
+def _windows(units: DataFrame, length: int) -> DataFrame:
+    """(w1, w2, d1, d2, at, low, high) of every window of units."""
+    names = ["w1", "w2", "d1", "d2", "at", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                c = {k: b.column(i).to_numpy() for i, k in enumerate(UNIT[:-1])}
+                unit, at, w1, w2 = _window_rows(c, b.column(len(UNIT) - 1).to_pylist(), length)
+                yield pa.RecordBatch.from_arrays([_i64(x) for x in (w1, w2, c["d1"][unit], c["d2"][unit], at, c["low"][unit], c["high"][unit])], names=names)
+
+    return units.select(*UNIT).mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
-    return rows.mapInArrow(_merged(run), ", ".join(f"{c} bigint" for c in names))
+
+def _compared_by_window(units: DataFrame, length: int) -> DataFrame:
+    """The rows of :func:`_compared`, for anchors of any number of units: a row for each window, which is combined by its hash before the shuffle."""
+    w = _windows(units, length)
+    hits = w.groupBy("w1", "w2").agg(F.min("low").alias("wl"), F.max("high").alias("wh")).where(F.col("wl") != F.col("wh"))
+    some = skew_left_join(w, hits, ["w1", "w2"]).where(F.col("wl").isNotNull())
+    # Consecutive windows of a unit become one stretch; a unit has at most length - gram + 1 windows that differ.
+    by = W.partitionBy("d1", "d2", "wl").orderBy("at")
+    some = some.withColumn("_g", F.col("at") - F.row_number().over(by))
+    return some.groupBy("d1", "d2", F.col("wl").alias("low"), "_g").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("m")).drop("_g")
 
 
 def _merged(run, rows: int = 50_000):
@@ -78,7 +163,7 @@ def _merged(run, rows: int = 50_000):
     return f
 
 
-def shared_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def shared_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """(doc_id, start, stop, first_doc): stretches of each text of which every window also occurs in another document.
 
     A window is ``length`` consecutive characters, compared exactly. ``stop`` is exclusive; stretches of one document
@@ -87,28 +172,30 @@ def shared_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     document doesn't count.
 
     Only digests are shuffled: one row a unit, about one in ``(length - gram) / 2`` characters, which is combined per
-    digest before the shuffle, so that a passage in a third of all documents is one row a task. Texts are shuffled once
-    for the units at the ends of spans, one representative of each digest.
+    digest before the shuffle, so that a passage in a third of all documents is one row a task. Of units that differ
+    but have an anchor in common one representative of each digest is cut from its text and compared with the others
+    of its anchor; an anchor with more than ``most`` digests isn't brought together, its windows are.
     """
-    u = kept(content_units(docs, length, gram))
+    u = settled(content_units(docs, length, gram))
     # Most anchors occur in one document and are dropped before anything else shuffles.
-    seen = u.groupBy("anchor").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).where(F.col("_l") != F.col("_h")).select("anchor", F.lit(True).alias("_seen"))
-    u = kept(skew_left_join(u, seen, ["anchor"]).where(F.col("_seen")).drop("_seen"))
-    digests = u.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "first", "n")).alias("rep"))
-    known = digests.join(digests.groupBy("anchor").agg(F.count(F.lit(1)).alias("_k")), "anchor")
-    whole = known.where("_k = 1").select("d1", "d2", "low", F.lit(0).cast("bigint").alias("at"), F.col("rep.n").alias("m"))
+    seen = u.groupBy("anchor").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h"), F.count(F.lit(1)).alias("_n")).where(F.col("_l") != F.col("_h"))
+    seen = settled(seen.select("anchor", "_n", F.lit(True).alias("_seen")))
+    some = settled(skew_left_join(u, seen.drop("_n"), ["anchor"], counts=seen.select("anchor", "_n")).where(F.col("_seen")).drop("_seen"))
+    digests = some.groupBy("anchor", "d1", "d2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "first", "n")).alias("rep"))
+    known = settled(digests.join(digests.groupBy("anchor").agg(F.count(F.lit(1)).alias("_k")), "anchor"))
+    whole = known.where("_k = 1").select("d1", "d2", "low", F.lit(0).cast("bigint").alias("at"), F.col("rep.n").cast("bigint").alias("m"))
 
-    # Units that have an anchor in common and differ: the windows of one representative of each are compared.
     mixed = known.where(F.col("_k") > 1)
-    listed = mixed.groupBy(F.col("rep.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("rep.first").alias("first"), F.col("rep.n").alias("n"), "d1", "d2", "low", "high")).alias("parts"))
-    w = kept(_windows(docs.select("doc_id", "text").join(listed, "doc_id").select("text", "parts"), length))
-    hits = w.groupBy("w1", "w2").agg(F.min("low").alias("wl"), F.max("high").alias("wh")).where(F.col("wl") != F.col("wh"))
-    some = w.join(hits, ["w1", "w2"]).select("d1", "d2", "at", "wl")
-    # Consecutive windows of a unit become one stretch; a unit has at most length - gram + 1 windows that differ.
-    by = W.partitionBy("d1", "d2", "wl").orderBy("at")
-    some = some.withColumn("_g", F.col("at") - F.row_number().over(by)).groupBy("d1", "d2", "wl", "_g").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("m"))
-    parts = whole.unionByName(some.select("d1", "d2", F.col("wl").alias("low"), "at", "m"))
-    d = u.join(parts, ["d1", "d2"])
+    listed = mixed.groupBy(F.col("rep.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("anchor", "d1", "d2", "low", "high", F.col("rep.n").alias("n"), F.col("rep.first").alias("first"))).alias("parts"))
+    texts = _unit_texts(docs.select("doc_id", "text").join(listed, "doc_id").select("text", "parts"), length)
+    crowded = known.where(F.col("_k") > most).select("anchor").distinct()
+    if crowded.isEmpty():
+        compared = _compared(texts, length)
+    else:
+        texts, crowded = settled(texts), settled(crowded)
+        compared = _compared(texts.join(crowded, "anchor", "left_anti"), length).unionByName(_compared_by_window(texts.join(bounded(crowded), "anchor", "left_semi"), length))
+    d = skew_left_join(some.select("doc_id", "first", "d1", "d2"), whole.unionByName(compared).groupBy("d1", "d2").agg(F.collect_list(F.struct("low", "at", "m")).alias("_parts")), ["d1", "d2"])
+    d = d.select("doc_id", "first", F.inline("_parts"))
     start = F.col("first") + F.col("at")
     return d.select("doc_id", start.alias("start"), (start + F.col("m") + (length - 1)).alias("stop"), F.col("low").alias("first_doc"))
 
