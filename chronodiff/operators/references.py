@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronodiff.operators.asof import as_of
+from chronodiff.session import settled
 
 STATE = "target_table string, key string, refs bigint, existence bigint, first_at timestamp, gone_at timestamp"
 
@@ -87,7 +88,8 @@ def orphans(refs: DataFrame, existing: DataFrame) -> DataFrame:
     signed = deltas(refs.limit(0), born).select("target_table", "key", F.unix_micros("at").alias("_at"), F.col("existence").cast("bigint").alias("existence"), F.when(F.col("existence") > 0, 1).otherwise(0).cast("bigint").alias("births"), F.lit(0).cast("bigint").alias("ever"))
     # Known from the beginning: that the key will be there at some time.
     ever = born.select("target_table", "key", F.lit(None).cast("bigint").alias("_at"), F.lit(0).cast("bigint").alias("existence"), F.lit(0).cast("bigint").alias("births"), F.lit(1).cast("bigint").alias("ever"))
-    d = as_of(refs, signed.unionByName(ever), ["target_table", "key"], F.unix_micros("landed_at"), F.col("_at"), {c: (F.sum, F.col(c)) for c in ("existence", "births", "ever")})
+    # Written once each for the counts, the cut points and the sums.
+    d = as_of(settled(refs), settled(signed.unionByName(ever)), ["target_table", "key"], F.unix_micros("landed_at"), F.col("_at"), {c: (F.sum, F.col(c)) for c in ("existence", "births", "ever")})
     kind = F.when(F.coalesce("existence", F.lit(0)) <= 0, F.when(F.coalesce("ever", F.lit(0)) == 0, "missing").when(F.coalesce("births", F.lit(0)) == 0, "late").otherwise("deleted"))
     return d.withColumn("kind", kind).where(F.col("kind").isNotNull()).select("event_id", "pos", "field", "period", "kind")
 
