@@ -38,11 +38,13 @@ def identified(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(observations, exceptions) of deltas (provider, model, event_type, field_path, old, new, observed_at, ...).
 
     A delta with a type, a provider and a model (or one that needs none, an outage) has an event id; the others are
-    exceptions with a reason. Observations have ``id``, ``hash8``, ``inverse8`` (of the change that undoes it).
+    exceptions with a reason. Observations have ``id``, ``hash8``, ``inverse8`` (of the change that undoes it). The key's values
+    are ``old`` and ``new`` as JSON, or ``old_json`` and ``new_json`` if there are such columns.
     """
     reason = F.when(F.col("event_type").isNull(), "unclassified").when(F.col("provider").isNull(), "provider-unmapped").when(F.col("model").isNull() & ~F.col("event_type").startswith("outage."), "alias-unmapped")
     d = deltas.withColumn("reason", reason)
-    old, new = json_value(F.col("old")), json_value(F.col("new"))
+    given = "old_json" in deltas.columns
+    old, new = (F.col("old_json"), F.col("new_json")) if given else (json_value(F.col("old")), json_value(F.col("new")))
     key = I.key_text(F.col("provider"), F.col("model"), F.col("event_type"), F.col("field_path"), old, new)
     inverse = I.key_text(F.col("provider"), F.col("model"), reversed_type(F.col("event_type")), F.col("field_path"), new, old)
     good = d.where(F.col("reason").isNull()).drop("reason")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronodiff.functions.urls import TOKEN_SHAPES, credential_parameters
+from chronodiff.operators.joins import bounded
 
 # Header names that carry credentials.
 SECRET_HEADERS = ["authorization", "proxy-authorization", "cookie", "set-cookie", "x-api-key", "api-key", "x-auth-token"]
@@ -74,7 +75,7 @@ def forbidden_pair(path: Column, pair: str) -> Column:
 
 def out_of_scope(writes: DataFrame, scopes: DataFrame) -> DataFrame:
     """Writes (writer, path) that no scope (pattern of the writer, prefix of the path) allows."""
-    return writes.join(F.broadcast(scopes), F.regexp_like(writes.writer, scopes.pattern) & writes.path.startswith(scopes.prefix), "left_anti")
+    return writes.join(bounded(scopes), F.regexp_like(writes.writer, scopes.pattern) & writes.path.startswith(scopes.prefix), "left_anti")
 
 
 def rewrites(changes: DataFrame, prefixes: list[str]) -> DataFrame:

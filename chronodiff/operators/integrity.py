@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from chronodiff.functions.identity import id_matches_day
 from chronodiff.operators.events import repeated_within
+from chronodiff.operators.schemas import Catalogue, schema_errors
 
 
 def _error(d: DataFrame, code: str, subject: Column, message: Column) -> DataFrame:
@@ -21,42 +22,10 @@ def unreadable(files: DataFrame) -> DataFrame:
     return _error(files.where(F.try_parse_json("text").isNull()), "E-JSON", F.col("path"), F.lit("not readable as JSON"))
 
 
-def schema_errors(value: Column, schema: dict, at: str = "") -> list[Column]:
-    """Columns that are a message where a JSON text breaks a rule, else null.
-
-    Rules: type, required, enum, const, pattern, maxLength, minItems, additionalProperties (false), properties.
-    """
-    get = lambda p: F.get_json_object(value, "$" + p)
-    here = get(at) if at else value
-    out: list[Column] = []
-    miss = lambda cond, m: out.append(F.when(here.isNotNull() & cond, F.lit(f"{at or '/'}: {m}")))
-    shape = {"object": r"^\s*\{", "array": r"^\s*\[", "integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": r"^(true|false)$"}.get(schema.get("type"))
-    if shape:
-        miss(~here.rlike(shape), f"not of type {schema['type']}")
-    if "enum" in schema:
-        miss(~here.isin([str(x) for x in schema["enum"]]), "not one of the values")
-    if "const" in schema:
-        miss(here != str(schema["const"]), "not the value")
-    if "pattern" in schema:
-        miss(~here.rlike(schema["pattern"]), "does not match")
-    if "maxLength" in schema:
-        miss(F.length(here) > schema["maxLength"], "too long")
-    if "minItems" in schema:
-        miss(F.json_array_length(here) < schema["minItems"], "too few items")
-    for r in schema.get("required", []):
-        out.append(F.when(here.isNotNull() & get(f"{at}.{r}").isNull(), F.lit(f"{at}/{r}: missing")))
-    props = schema.get("properties", {})
-    if schema.get("additionalProperties") is False:
-        extra = F.array_except(F.json_object_keys(here), F.array(*[F.lit(k) for k in props]))
-        out.append(F.when(F.size(extra) > 0, F.concat(F.lit(f"{at or '/'}: unknown "), F.array_join(extra, ","))))
-    for k, s in props.items():
-        out += schema_errors(value, s, f"{at}.{k}")
-    return out
-
-
-def invalid(files: DataFrame, schema: dict) -> DataFrame:
-    errors = F.array_compact(F.array(*schema_errors(F.col("text"), schema)))
-    return _error(files.select("path", F.explode(errors).alias("_m")), "E-SCHEMA", F.col("path"), F.col("_m"))
+def invalid(files: DataFrame, schema: dict, schemas: Catalogue | None = None, code: str = "E-SCHEMA") -> DataFrame:
+    """Files (path, text) that break a schema, a row for each error; a registry's document is checked with the code E-REG. Unreadable texts are :func:`unreadable`'s."""
+    readable = files.where(F.try_parse_json("text").isNotNull())
+    return _error(readable.select("path", F.explode(schema_errors(F.col("text"), schema, schemas)).alias("_m")), code, F.col("path"), F.col("_m"))
 
 
 def misplaced(files: DataFrame) -> DataFrame:

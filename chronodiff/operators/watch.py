@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronodiff.functions.identity import collapse, nfc
-from chronodiff.operators.diff import changed_keys
+from chronodiff.functions.urls import host
+from chronodiff.operators.diff import changed_keys, set_changes
+from chronodiff.session import kept
 
 STANCE = T.StructType([T.StructField("allowed", T.BooleanType()), T.StructField("rules", T.ArrayType(T.StringType())), T.StructField("crawl_delay", T.StringType()), T.StructField("signals", T.MapType(T.StringType(), T.StringType()))])
 
@@ -101,3 +104,129 @@ def quote_state(docs: DataFrame, text: str, quote: str, pinned: str | None) -> D
     d = docs.withColumn("_p", plain).withColumn("digest", F.sha2("_p", 256))
     same = F.lit(True) if pinned is None else F.col("digest") == pinned
     return d.withColumn("state", F.when(~F.col("_p").contains(" ".join(quote.split())), "lapsed").when(same, "quoted").otherwise("changed")).drop("_p")
+
+
+SEVERITIES = ("notice", "warning", "critical")
+ITEM = ["kind", "severity", "subject", "source_ids", "details", "queued_at"]
+
+
+def items(rows: DataFrame, kind: str, severity: Column, subject: Column, source_ids: Column, details: Column, queued_at: Column) -> DataFrame:
+    """Queue items (ITEM); ``details`` is JSON, a severity that isn't one of SEVERITIES raises."""
+    known = F.when(severity.isin(*SEVERITIES), severity).otherwise(F.raise_error(F.concat(F.lit("unknown severity "), F.coalesce(severity, F.lit("null")))))
+    return rows.select(F.lit(kind).alias("kind"), known.alias("severity"), subject.alias("subject"), F.coalesce(source_ids, F.array().cast("array<string>")).alias("source_ids"), details.alias("details"), queued_at.alias("queued_at"))
+
+
+def recheck(hosts: DataFrame, answers: DataFrame, sources: DataFrame, previous: DataFrame, pins: DataFrame, agent: str, run_ts: Column) -> dict[str, DataFrame]:
+    """One sweep over the hosts (host, source_ids): ``state``, ``items`` and ``report``.
+
+    ``answers``: (host, http_status, body) of robots.txt; ``sources``: (source_id, url); ``previous``: (host, source_id, stance,
+    fetched) of the last sweep; ``pins``: (source_id, signal, pinned). Items: a stance that changed (critical if a source of the host
+    that was allowed no longer is), a host that can't be reached, signals that aren't as pinned, and hosts seen for the first time.
+    """
+    each = hosts.select("host", F.explode("source_ids").alias("source_id")).join(sources.select("source_id", "url"), "source_id").join(answers, "host", "left")
+    path = F.concat(F.lit("/"), F.regexp_extract("url", r"^[A-Za-z]+://[^/]+/?(.*)$", 1))
+    s = stances(each.withColumn("_path", path), "body", "_path", agent, "http_status")
+    state = kept(s.select("host", "source_id", "stance", fetched_as(F.col("http_status")).alias("fetched"), "http_status"))
+    one = lambda d: d.groupBy("host").agg(F.min_by("stance", "source_id").alias("stance"), F.min("fetched").alias("fetched"), F.array_sort(F.collect_set("source_id")).alias("source_ids"))
+    now, before = one(state), one(previous)
+    flat = lambda d: d.select("host", F.explode(F.map_from_arrays(F.array(*[F.lit(f) for f in ("fetched", "rules", "crawl_delay", "signals")]), F.array("fetched", F.to_json("stance.rules"), "stance.crawl_delay", F.to_json("stance.signals")))).alias("field", "value"))
+    both = now.select("host").join(before.select("host"), "host")
+    changed = changed_keys(flat(before), flat(now), ["host", "field"], "value").join(both, "host").select("host", "field", "old", "new")
+    rights = lambda d: d.select("host", "source_id", F.col("stance.allowed").alias("allowed"))
+    moved = changed_keys(rights(previous).withColumn("allowed", F.col("allowed").cast("string")), rights(state).withColumn("allowed", F.col("allowed").cast("string")), ["host", "source_id"], "allowed").join(both, "host")
+    changed = changed.unionByName(moved.select("host", F.concat(F.lit("allowed:"), "source_id").alias("field"), "old", "new"))
+    changed = changed.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(F.struct("field", "old", "new")))).alias("changes"))
+    blocked = collection_blocking(rights(previous), rights(state))
+    ids = now.select("host", "source_ids")
+    a = items(changed.join(blocked, "host", "left").join(ids, "host"), "robots.stance-changed", F.when(F.col("blocking"), "critical").otherwise("warning"), F.col("host"), F.col("source_ids"), F.col("changes"), run_ts)
+    b = items(now.where("fetched = 'unreachable'"), "robots.unreachable", F.lit("warning"), F.col("host"), F.col("source_ids"), F.lit("{}"), run_ts)
+    seen = state.where("fetched = 'ok'").select("host", "source_id", F.explode_outer("stance.signals").alias("signal", "observed"))
+    missed = pins_missed(pins.join(state.select("host", "source_id"), "source_id"), seen.select("source_id", "signal", "observed"), ["source_id", "signal"], "pinned", "observed").join(state.select("host", "source_id"), "source_id")
+    missed = missed.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(F.struct("source_id", "signal", "pinned", "observed")))).alias("_d"), F.array_sort(F.collect_set("source_id")).alias("_s"))
+    c = items(missed, "robots.content-signals-mismatch", F.lit("critical"), F.col("host"), F.col("_s"), F.col("_d"), run_ts)
+    new = now.join(before.select("host"), "host", "left_anti")
+    d = items(new, "robots.state-seeded", F.lit("notice"), F.col("host"), F.col("source_ids"), F.lit("{}"), run_ts)
+    report = now.select("host", "fetched").join(changed.select("host", F.lit(True).alias("changed")), "host", "left").join(new.select("host", F.lit(True).alias("seeded")), "host", "left")
+    report = report.select("host", "fetched", F.coalesce("seeded", F.lit(False)).alias("seeded"), F.coalesce("changed", F.lit(False)).alias("changed"))
+    return {"state": state, "items": a.unionByName(b).unionByName(c).unionByName(d), "report": report}
+
+
+def selected(sentinels: DataFrame, ids: list[str] | None = None, cadence: str | None = None, everywhere: list[str] = (), exclude: list[str] = ()) -> DataFrame:
+    """The sentinels (sentinel_id, cadence, ...) that run: those of ``ids``, of which each must exist, or those of a cadence, but for those that are checked ``everywhere`` and the excluded."""
+    if ids:
+        want = sentinels.sparkSession.createDataFrame([(i,) for i in ids], "sentinel_id string")
+        d = want.join(sentinels.withColumn("_there", F.lit(True)), "sentinel_id", "left")
+        return d.withColumn("sentinel_id", F.when(F.col("_there"), F.col("sentinel_id")).otherwise(F.raise_error(F.concat(F.lit("unknown sentinel "), "sentinel_id")))).drop("_there")
+    if cadence is None:
+        raise ValueError("name sentinels or a cadence")
+    return sentinels.where((F.col("cadence") == cadence) & ~F.col("sentinel_id").isin([*everywhere, *exclude]))
+
+
+def quote_sentinel(docs: DataFrame, references: DataFrame, locate: tuple[str, ...], run_ts: Column) -> dict[str, DataFrame]:
+    """A pinned sentence and the hash of a whole text: ``state`` (the references, seeded where they were null) and ``items``.
+
+    ``docs``: (sentinel_id, sentence_text, hashed_text; null: not modified); ``references``: (sentinel_id, quote, digest).
+    A null quote is seeded with the first sentence that holds the words ``locate``, a null digest with the text's. What
+    is pinned and isn't there any more, or can't be found, lapses.
+    """
+    d = docs.join(references, "sentinel_id", "left")
+    text, whole = collapse(nfc(F.col("sentence_text"))), F.sha2(collapse(nfc(F.col("hashed_text"))), 256)
+    hit = F.get(sentences_with(text, *locate), F.lit(0))
+    d = d.withColumns({"_hit": hit, "_whole": whole, "_text": text, "_quote": collapse(nfc(F.col("quote")))})
+    lost = F.when(F.col("_text").isNotNull() & F.col("quote").isNull() & F.col("_hit").isNull(), "sentence not found").when(F.col("_text").isNotNull() & F.col("quote").isNotNull() & ~F.col("_text").contains(F.col("_quote")), "sentence removed or modified")
+    moved = F.when(F.col("digest").isNotNull() & F.col("_whole").isNotNull() & (F.col("digest") != F.col("_whole")), "text changed")
+    d = d.withColumns({"reasons": F.array_compact(F.array(lost, moved)), "seeded": F.array_compact(F.array(F.when(F.col("quote").isNull() & F.col("_hit").isNotNull(), "quote"), F.when(F.col("digest").isNull() & F.col("_whole").isNotNull(), "digest")))})
+    state = d.select("sentinel_id", F.coalesce("quote", "_hit").alias("quote"), F.coalesce("digest", "_whole").alias("digest"), F.when(F.size("reasons") > 0, "triggered").when(F.size("seeded") > 0, "seeded").otherwise("ok").alias("status"))
+    none = F.lit(None).cast("array<string>")
+    a = items(d.where(F.size("seeded") > 0), "sentinel.reference-seeded", F.lit("notice"), F.col("sentinel_id"), none, F.to_json(F.struct("seeded")), run_ts)
+    b = items(d.where(F.size("reasons") > 0), "sentinel.verdict-lapse", F.lit("critical"), F.col("sentinel_id"), none, F.to_json(F.struct("reasons")), run_ts)
+    return {"state": state, "items": a.unionByName(b)}
+
+
+def set_sentinel(seen: DataFrame, previous: DataFrame, run_ts: Column) -> dict[str, DataFrame]:
+    """The set of documents (sentinel_id, document) of a hub: ``state`` (what is seen now) and ``items``, seeded at first, else what appeared or went."""
+    ids = previous.select("sentinel_id").distinct()
+    new = seen.join(ids, "sentinel_id", "left_anti").groupBy("sentinel_id").agg(F.to_json(F.struct(F.array_sort(F.collect_set("document")).alias("documents"))).alias("_d"))
+    diffs = set_changes(previous.select("sentinel_id", "document"), seen.select("sentinel_id", "document"), ["sentinel_id", "document"]).join(ids, "sentinel_id", "left_semi")
+    at = lambda w: F.array_sort(F.collect_list(F.when(F.col("change") == w, F.col("document")))).alias(w)
+    diffs = diffs.groupBy("sentinel_id").agg(F.to_json(F.struct(at("new"), at("removed"))).alias("_d"))
+    none = F.lit(None).cast("array<string>")
+    a = items(new, "sentinel.state-seeded", F.lit("notice"), F.col("sentinel_id"), none, F.col("_d"), run_ts)
+    return {"state": seen, "items": a.unionByName(items(diffs, "sentinel.document-appeared", F.lit("warning"), F.col("sentinel_id"), none, F.col("_d"), run_ts))}
+
+
+#: Kinds of sentinels, by name, and what checks them.
+HANDLERS = {"quote": quote_sentinel, "set": set_sentinel}
+
+
+def run_sentinels(chosen: DataFrame, inputs: dict[str, tuple], run_ts: Column) -> dict[str, DataFrame | str]:
+    """Runs the handlers of the chosen sentinels (sentinel_id, handler); ``inputs``: handler -> its arguments but the last.
+
+    Returns items, a state for each handler, and ``error:<handler>`` where one failed, which doesn't stop the others; its
+    sentinels, and those of a handler that isn't known, are items: the check did not run.
+    """
+    out: dict[str, DataFrame | str] = {}
+    parts, failed = [], []
+    for name, run in HANDLERS.items():
+        if name in inputs:
+            try:
+                got = run(*inputs[name], run_ts)
+                out[f"state:{name}"], found = kept(got["state"]), kept(got["items"])
+                parts.append(found)
+            except Exception as e:  # noqa: BLE001  one check that fails doesn't stop the others
+                out[f"error:{name}"] = str(e)
+                failed.append(name)
+    none = F.lit(None).cast("array<string>")
+    idle = chosen.where(~F.coalesce(F.col("handler").isin([*inputs]) & F.col("handler").isin([*HANDLERS]), F.lit(False)))
+    parts.append(items(idle, "sentinel.unhandled", F.lit("warning"), F.col("sentinel_id"), none, F.to_json(F.struct("handler")), run_ts))
+    parts.append(items(chosen.where(F.col("handler").isin(failed)), "sentinel.failed", F.lit("warning"), F.col("sentinel_id"), none, F.to_json(F.struct("handler")), run_ts))
+    out["items"] = reduce(lambda a, b: a.unionByName(b), parts)
+    return out
+
+
+def lapsed_registry(sources: DataFrame, of_host: str, reason: str) -> DataFrame:
+    """``sources`` prepared for review with every source of a host excluded, no longer fetched, for a reason."""
+    hit = (host(F.col("url")) == of_host.lower()) & ~F.coalesce("excluded", F.lit(False))
+    d = sources.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    blank = {c: F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(c)) for c in ("method", "cadence") if c in sources.columns}
+    return d.withColumns({**blank, "excluded": F.col("_hit") | F.coalesce("excluded", F.lit(False)), "exclusion_reason": F.when(F.col("_hit"), reason)}).drop("_hit")

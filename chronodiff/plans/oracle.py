@@ -256,8 +256,8 @@ WITH h AS (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS h, bool_or(excl
 SELECT CASE WHEN h.h IS NULL THEN 'unregistered host' WHEN x THEN 'excluded host' END AS reason, count(*) AS n FROM manifests m LEFT JOIN h ON h.h = regexp_extract(m.url, '^https?://([^/]+)', 1) GROUP BY 1
 """,
     "source_kinds": """
-SELECT source_id, CASE WHEN source_class = 'statuspage' THEN 'statuspage' WHEN regexp_matches(source_id, '(^|-)(price|prices|pricing|offers|retail)(-|$)') THEN 'pricing-api' WHEN source_class = 'provider-docs' THEN 'docs-html'
- WHEN regexp_matches(source_id, '(^|-)(models|model)(-|$)') OR source_class IN ('official-api', 'third-party-aggregator') THEN 'models-api' END AS kind FROM sources
+SELECT source_id, CASE WHEN source_class = 'statuspage' THEN 'statuspage' WHEN source_class IN ('provider-docs', 'policy-page') THEN 'docs-html'
+ WHEN source_class IN ('official-api', 'third-party-aggregator') THEN CASE WHEN regexp_matches(lower(source_id), 'price|pricing|retail') THEN 'pricing-api' ELSE 'models-api' END END AS kind FROM sources
 """,
     "canonical_urls": "SELECT doc_id, page_url || '?a=1' AS url, true AS secret, 'token' AS names FROM documents WHERE page_url IS NOT NULL",
     "meter_tokens": r"""

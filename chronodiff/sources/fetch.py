@@ -159,6 +159,25 @@ class Fetcher:
                 raise SourceFailed("too many pages")
 
 
+def header_faults(source: dict, agent: str, headers: dict[str, str], credentials: set[str] = frozenset({"authorization", "cookie", "x-api-key", "api-key"})) -> list[str]:
+    """Why a request's headers break the policy: an agent other than the registered one, or a credential for a source that must never get one."""
+    names = {k.lower(): v for k, v in headers.items()}
+    out = [] if names.get("user-agent", agent) == agent else ["user-agent"]
+    return out + ([f"credential {k}" for k in sorted(names) if k in credentials] if source.get("never_authenticate") or source.get("auth") in (None, "none") else [])
+
+
+def heartbeat(ok: bool, url: str | None, post: Callable[[str, float], int], timeout_s: float = 10.0) -> str:
+    """Tells a monitor that a run ended: `sent`, `skipped` without a URL, `refused` if it isn't https, or `failed`. It never raises."""
+    if not url:
+        return "skipped"
+    if urlsplit(url).scheme != "https":
+        return "refused"
+    try:
+        return "sent" if 200 <= post(url if ok else url.rstrip("/") + "/fail", timeout_s) < 300 else "failed"
+    except Exception:  # noqa: BLE001  a run doesn't fail by its monitor
+        return "failed"
+
+
 class _Source(InputPartition):
     def __init__(self, record: dict):
         self.record = record

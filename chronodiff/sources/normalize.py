@@ -250,6 +250,33 @@ def price_list(df: DataFrame) -> DataFrame:
     return top_price(products.join(t, ["source_id", "sku"]), F.col("at"), reversed_text(F.col("sku")))
 
 
+def pruned_price_list(df: DataFrame) -> DataFrame:
+    """(source_id, payload): price lists with only what :func:`price_list` reads, as compact JSON in binary order of names; the evidence that is stored.
+
+    Products stay that have a known inference type, with their terms on demand; null and unreadable payloads stay null.
+    """
+    d = df.select("source_id", F.from_json("payload", "products map<string,string>, terms struct<OnDemand map<string,string>>, offerCode string, version string").alias("d"))
+    kinds = [k for k, _, _ in INFERENCE_TYPES]
+    used = F.map_filter("d.products", lambda k, v: F.coalesce(F.lower(collapse(F.get_json_object(v, "$.attributes.inferenceType"))).isin(kinds), F.lit(False)))
+    d = d.withColumn("_p", used).withColumn("_t", F.map_filter("d.terms.OnDemand", lambda k, v: F.map_contains_key("_p", k)))
+    member = lambda name, m: F.concat(F.lit(f'"{name}":{{'), F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(F.to_json(F.array(e.key)).substr(F.lit(2), F.length(F.to_json(F.array(e.key))) - 2), F.lit(":"), F.to_json(F.try_parse_json(e.value)))), ","), F.lit("}"))
+    head = F.concat_ws(",", *[F.concat(F.lit(f'"{c}":'), F.to_json(F.array(F.col(f"d.{c}"))).substr(F.lit(2), F.length(F.to_json(F.array(F.col(f"d.{c}")))) - 2)) for c in ("offerCode", "version")])
+    empty = F.create_map().cast("map<string,string>")
+    text = F.concat(F.lit("{"), head, F.lit(","), member("products", F.coalesce("_p", empty)), F.lit(',"terms":{'), member("OnDemand", F.coalesce("_t", empty)), F.lit("}}"))
+    return d.select("source_id", F.when(F.col("d").isNotNull() & (F.col("_p").isNotNull() | F.col("_t").isNotNull()), text).alias("payload"))
+
+
+#: What is stored of a body instead of the whole, by the name of the rule that is kept with it.
+TRUNCATIONS = {"consumed-products": pruned_price_list}
+
+
+def truncated(df: DataFrame, rule: str | None) -> DataFrame:
+    """(source_id, payload, truncation_rule): bodies as they are stored; a rule that isn't known raises."""
+    if rule is None:
+        return df.select("source_id", "payload", F.lit(None).cast("string").alias("truncation_rule"))
+    return TRUNCATIONS[rule](df).withColumn("truncation_rule", F.lit(rule))
+
+
 def meter_fields(name: Column) -> Column:
     """Struct (direction, tier, scope, model_ref) of a meter name; null without exactly one direction, with two tiers, or without a model.
 

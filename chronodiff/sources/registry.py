@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronodiff.functions.urls import canonical_url, host
+from chronodiff.operators.joins import bounded, skew_left_join
 
 
 def sources_of(doc: DataFrame) -> DataFrame:
@@ -37,6 +38,47 @@ def resolve_provider(model: Column, prefixes: dict[str, str], namespaces: Column
     return F.coalesce(*found)
 
 
+def resolve_models(refs: DataFrame, model: str, aliases: DataFrame, providers: DataFrame) -> DataFrame:
+    """``refs`` (with ``namespace``) with ``canonical_id`` and ``provider`` of their model.
+
+    The canonical id is the alias' in its namespace, exactly as written. The provider is that of the namespace and the
+    model's prefix (what stands before its first `/`), else that of the whole namespace (prefix ''). Unknown ones are null.
+    """
+    known = aliases.select("namespace", F.col("alias").alias("_a"), "canonical_id")
+    d = skew_left_join(refs.withColumn("_a", F.col(model)), known, ["namespace", "_a"]).drop("_a")
+    p = providers.groupBy("namespace", F.coalesce("prefix", F.lit("")).alias("_p")).agg(F.min("provider").alias("_v"))
+    prefix = F.when(F.col(model).contains("/"), F.split_part(F.col(model), F.lit("/"), F.lit(1)))
+    d = d.withColumn("_p", prefix).join(bounded(p), ["namespace", "_p"], "left").withColumnRenamed("_v", "_own").drop("_p")
+    whole = bounded(p.where("_p = ''").select("namespace", F.col("_v").alias("_all")))
+    return d.join(whole, "namespace", "left").withColumn("provider", F.coalesce("_own", "_all")).drop("_own", "_all")
+
+
+def provider_of_entries(entries: DataFrame, order: list[tuple[str, str]]) -> DataFrame:
+    """(canonical_id, provider): that of the first namespace in ``order`` in which an entry has aliases; null if none."""
+    found = F.coalesce(*[F.when(F.map_contains_key("aliases", ns), F.lit(p)) for ns, p in order])
+    return entries.select("canonical_id", found.alias("provider"))
+
+
+def with_sidecar(deltas: DataFrame, sidecar: DataFrame, keys: list[str]) -> DataFrame:
+    """Deltas with what their snapshot says beside its rows (``keys`` and other columns); a delta without has nulls. Of several rows of a key the smallest as JSON counts."""
+    rest = [c for c in sidecar.columns if c not in keys]
+    one = sidecar.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("_s")).select(*keys, "_s.*")
+    return skew_left_join(deltas, one, keys)
+
+
+def hosts_to_sources(sources: DataFrame) -> DataFrame:
+    """(host, source_ids): the sources of each host, sorted; what a sweep over hosts may ask, so excluded hosts, and sources that are excluded or never fetched, aren't there."""
+    d = sources.withColumn("host", host(F.col("url"))).where(F.col("host").isNotNull())
+    d = d.where(~F.coalesce("excluded", F.lit(False)) & F.col("method").isNotNull())
+    d = d.join(bounded(excluded_hosts(sources)), "host", "left_anti")
+    return d.groupBy("host").agg(F.array_sort(F.collect_set("source_id")).alias("source_ids"))
+
+
+def source_of_manifest(path: Column) -> Column:
+    """The source id in a manifest's path, `manifests/evidence/<source>/<file>.meta.json`; null if it is none."""
+    return F.nullif(F.regexp_extract(path, r"^manifests/evidence/([^/]+)/[^/]+\.meta\.json$", 1), F.lit(""))
+
+
 def excluded_hosts(sources: DataFrame) -> DataFrame:
     return sources.where("excluded").select(host(F.col("url")).alias("host")).where(F.col("host").isNotNull()).distinct()
 
@@ -55,10 +97,10 @@ def redirect_violations(chains: DataFrame, key: str, hops: str, sources: DataFra
 
 
 def kind_of_snapshot(source_class: Column, source_id: Column) -> Column:
-    """Kind of a source's snapshots, by its class and the words of its id."""
+    """Kind of a source's snapshots: by its class, and for listings by whether its id names prices; probes have none."""
+    prices = F.lower(source_id).rlike("price|pricing|retail")
     return (
         F.when(source_class == "statuspage", "statuspage")
-        .when(source_id.rlike(r"(^|-)(price|prices|pricing|offers|retail)(-|$)"), "pricing-api")
-        .when(source_class == "provider-docs", "docs-html")
-        .when(source_id.rlike(r"(^|-)(models|model)(-|$)") | source_class.isin("official-api", "third-party-aggregator"), "models-api")
+        .when(source_class.isin("provider-docs", "policy-page"), "docs-html")
+        .when(source_class.isin("official-api", "third-party-aggregator"), F.when(prices, "pricing-api").otherwise("models-api"))
     )

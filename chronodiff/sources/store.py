@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from chronodiff.operators.joins import bounded
+
+#: An event's id: its day and the hash of its key.
+EVENT_ID = r"^evt_\d{8}_[0-9a-f]{8}$"
+
 
 def latest_snapshot(snapshots: DataFrame, series: str = "source_id", run: str = "run_ts") -> DataFrame:
     """All rows of the latest run of each series."""
@@ -66,7 +71,7 @@ def publish_run(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
 def published(spark, root: str, name: str) -> DataFrame:
     """The rows of a table from published runs."""
     runs = spark.read.parquet(f"{root}/runs").distinct()
-    return spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{name}").join(F.broadcast(runs), "run_id", "left_semi")
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{name}").join(bounded(runs), "run_id", "left_semi")
 
 
 def upsert(state: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
@@ -85,3 +90,75 @@ def manifest_record(df: DataFrame) -> DataFrame:
     full, stored = F.sha2("body", 256), F.sha2("stored", 256)
     return df.select(F.concat(F.lit("manifests/evidence/"), "source_id", F.lit("/"), at, suffix, F.lit(".meta.json")).alias("path"), "source_id", "url", "fetched_at", "http_status",
                      full.alias("sha256_full"), F.nullif(stored, full).alias("sha256_stored"))
+
+
+def event_ids(events: DataFrame, id_: str = "id") -> DataFrame:
+    """(id): the well-formed ids, each once, in order."""
+    return events.where(F.col(id_).rlike(EVENT_ID)).select(F.col(id_).alias("id")).distinct().orderBy("id")
+
+
+def by_month(events: DataFrame, id_: str = "id") -> DataFrame:
+    """``events`` with the ``year`` and ``month`` that their ids name, by which they are stored."""
+    return events.withColumns({"year": F.substring(id_, 5, 4), "month": F.substring(id_, 9, 2)})
+
+
+def write_events(events: DataFrame, path: str, id_: str = "id") -> None:
+    """Appends events under the year and month of their ids."""
+    by_month(events, id_).write.mode("append").partitionBy("year", "month").parquet(path)
+
+
+def events_of(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
+    """The stored events of some ids; only the partitions that the ids name are read."""
+    months = sorted({(i[4:8], i[8:10]) for i in ids})
+    place = F.concat_ws("-", "year", "month").isin([f"{y}-{m}" for y, m in months]) & F.col("year").isin(sorted({y for y, _ in months}))
+    stored = spark.read.option("basePath", path).schema(_with_text_partitions(spark, path)).parquet(path)
+    return stored.where(place).where(F.col("id").isin(ids)).drop("year", "month")
+
+
+def _with_text_partitions(spark: SparkSession, path: str):
+    """The table's schema with partitions as texts, as `01` isn't the number 1."""
+    from pyspark.sql import types as T
+
+    fields = [f for f in spark.read.parquet(path).schema if f.name not in ("year", "month")]
+    return T.StructType([*fields, T.StructField("year", T.StringType()), T.StructField("month", T.StringType())])
+
+
+def pretty(row: Column) -> Column:
+    """A struct or map as JSON of two blanks a level."""
+    return F.to_json(row, {"pretty": "true", "ignoreNullFields": "false"})
+
+
+def write_json(rows: DataFrame, path: str, as_lines: bool = True) -> bool:
+    """Writes small tables such as reports and queues as JSON, a line a row, or each row alone and readable; no rows, no files. True if it wrote.
+
+    Columns named emitter, collector or run_ts are folders.
+    """
+    if rows.isEmpty():
+        return False
+    folders = [c for c in ("emitter", "collector", "run_ts") if c in rows.columns]
+    if not as_lines:
+        rows = rows.select(*folders, pretty(F.struct(*[c for c in rows.columns if c not in folders])).alias("value"))
+    w = rows.write.mode("append").partitionBy(*folders)
+    w.json(path) if as_lines else w.text(path)
+    return True
+
+
+def write_if_green(state: DataFrame, errors: DataFrame, path: str) -> bool:
+    """Replaces the derived state if there is no error; else what is there stays. True if it wrote."""
+    if not errors.isEmpty():
+        return False
+    state.write.mode("overwrite").parquet(path)
+    return True
+
+
+def drafts(reports: DataFrame) -> DataFrame:
+    """(id, run): the events that run reports (run, report: JSON) name for review, under any of their collectors, each once with its first run."""
+    each = F.explode(F.from_json(F.get_json_object("report", "$.collectors"), "map<string,struct<verdict_drafts array<struct<event_id string>>>>")).alias("collector", "c")
+    d = reports.select("run", each).select("run", F.explode("c.verdict_drafts.event_id").alias("id")).where(F.col("id").isNotNull())
+    return d.groupBy("id").agg(F.min("run").alias("run"))
+
+
+def review_order(hinted: DataFrame, swept: DataFrame) -> DataFrame:
+    """(id, hinted): what is to be reviewed, hinted ids first, then the rest, each once, in order of ids."""
+    d = hinted.select("id", F.lit(True).alias("hinted")).unionByName(swept.select("id", F.lit(False).alias("hinted")))
+    return d.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("hinted").alias("hinted")).orderBy(F.col("hinted").desc(), "id")
