@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronodiff.operators.asof import as_of
 from chronodiff.operators.events import ATTACH_HOURS, DAMP_HOURS, DAMP_STATUS_HOURS
+from chronodiff.session import settled
 
 HOUR = 3_600_000_000
 GROUP = ["provider", "model", "field_path", "family"]
@@ -110,23 +112,35 @@ def clean(record: dict) -> dict:
     return {**r, "sources": json.loads(r["sources"] or "[]")}
 
 
+def pieces(rows: DataFrame, hours: int = ATTACH_HOURS) -> DataFrame:
+    """Rows (GROUP, at) with ``_piece``: the time of the last row of their key, up to theirs, that none of its rows precedes by less than ``hours``."""
+    before = as_of(rows, rows.select(*GROUP, "at"), GROUP, F.col("at"), F.col("at"), {"_before": (F.max, F.col("at"))}, inclusive=False, null_safe=True)
+    starts = before.where(F.col("_before").isNull() | (F.col("at") - F.col("_before") >= hours * HOUR)).select(*GROUP, "at").distinct()
+    return as_of(rows, starts, GROUP, F.col("at"), F.col("at"), {"_piece": (F.max, F.col("at"))}, null_safe=True)
+
+
 def dispatch(changes: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """(id, action, candidate, source_id, at) of each change. ``stored``: open candidates of earlier runs, in the same columns; they give no rows.
 
-    Keys are brought together and sorted, with spilling; a worker keeps the open candidates of one key at a time, so a
-    key with a third of all changes costs its task time, not memory.
+    A key is cut wherever nothing can be open any more, i.e. none of its changes lie in the 72 hours before; the pieces are
+    independent, so a key with a third of all changes is spread over them. Pieces are brought together and sorted, with
+    spilling; a worker keeps the open candidates of one piece at a time.
     """
     d = rows_in(changes).withColumn("_old", F.lit(False))
     if stored is not None:
         d = d.unionByName(rows_in(stored).withColumn("_old", F.lit(True)))
-    d = d.repartition(*GROUP).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in GROUP], "at", F.col("_old").desc(), "id", "source_id")
+    d = pieces(settled(d))
+    key = [*GROUP, "_piece"]
+    d = d.repartition(*key).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in key], "at", F.col("_old").desc(), "id", "source_id")
+
+    key_names = tuple(key)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, opened = None, []
         for p in parts:
             out = []
             for r in map(clean, p.to_dict("records")):
-                k = tuple(r[c] for c in GROUP)
+                k = tuple(r[c] for c in key_names)
                 if k != key:
                     key, opened = k, []
                 action, candidate = step(opened, r)

@@ -61,6 +61,11 @@ def flags(annotations: DataFrame, kinds: dict[str, str], key: str = "event_id")
     return annotations.groupBy(key).agg(*[F.coalesce(F.bool_or(F.col("kind") == k), F.lit(False)).alias(f) for f, k in kinds.items()])
 
 
+def decisions(rows: DataFrame, rule: str, kind: str) -> DataFrame:
+    """(rule, kind, n): how often each rule decided what."""
+    return rows.groupBy(rule, kind).agg(F.count(F.lit(1)).alias("n"))
+
+
 def counted(rows: DataFrame, key: str, by: str) -> DataFrame:
     """(key, counts): a map from ``by`` to the number of rows, in order of its keys."""
     n = rows.groupBy(key, by).agg(F.count(F.lit(1)).alias("n"))

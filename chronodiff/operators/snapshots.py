@@ -6,6 +6,8 @@ row; a missing side is an addition or a removal, unequal hashes are a change.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -36,7 +38,9 @@ def snapshot_changes(rows: DataFrame, series: list[str], snapshot: str, run_ts:
     snaps = rows.groupBy(*series, F.col(snapshot).alias("_snap")).agg(F.max(run_ts).alias("_run"))
     order = W.partitionBy(*series).orderBy("_run", "_snap")
     snaps = snaps.select(*series, "_snap", F.lag("_snap").over(order).alias("_before"), F.lead("_snap").over(order).alias("_after"))
-    at = last.join(snaps, [*series, "_snap"])
+    known = snaps.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate([*series, "_snap"])], "_before", "_after")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate([*series, "_snap"])])
+    at = last.join(known, same).drop(*[f"_s{i}" for i in range(len(series) + 1)])
     new = at.where(F.col("_before").isNotNull()).select(*series, "_snap", "_key", F.col("_state").alias("_new"), F.lit(True).alias("_in_new"))
     old = at.where(F.col("_after").isNotNull()).select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(series)], F.col("_after").alias("_osnap"),
                                                        F.col("_key").alias("_okey"), F.col("_state").alias("_old"), F.lit(True).alias("_in_old"))

@@ -226,7 +226,6 @@ WITH x AS (SELECT id, unnest(evidence) AS e FROM change_events),
   UNION ALL SELECT 'E-DUP', 'the same change less than 72 hours before' FROM (SELECT o - lag(o) OVER (PARTITION BY right(id, 8) ORDER BY o, id) AS g FROM (SELECT id, min(observed_at) AS o FROM change_events GROUP BY id)) WHERE g < INTERVAL 72 HOURS)
 SELECT code, message, count(*) AS n FROM r GROUP BY code, message
 """,
-    "misplaced_ids": "SELECT 'E-ID' AS code, id AS subject, 'malformed, or not of the day observed' AS message FROM change_events WHERE NOT coalesce(regexp_matches(id, '^evt_[0-9]{8}_[0-9a-f]{8}$') AND substr(id, 5, 8) = strftime(observed_at AT TIME ZONE 'UTC', '%Y%m%d'), false)",
     "seq_contiguity": """
 SELECT 'E-SEQ' AS code, CAST(l_orderkey AS VARCHAR) AS subject FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n FROM lineitem WHERE l_linenumber <> 2 OR l_orderkey % 3 = 0) GROUP BY l_orderkey HAVING bool_or(l_linenumber <> n)
 """,
@@ -306,3 +305,10 @@ SELECT doc_id, n, CASE WHEN k > 1 THEN name || '-' || k ELSE name END AS name, C
 }
 
 ORACLE["p4_report"] = f"SELECT field, period, kind, count(*) AS n FROM ({ORACLE['p4_found']}) GROUP BY ALL"
+_NAMES = ORACLE["meter_tokens"].replace("regexp_replace(meter_name, '[ _]', ' ', 'g')", "meter_name")
+ORACLE["retail_rows"] = f"""
+WITH t AS ({_NAMES}), p AS (SELECT source_id, direction, tier, round(retail_price * CASE unit_of_measure WHEN '1K' THEN 1000 ELSE 1 END, 10) AS v FROM azure_retail_prices JOIN t USING (row_id)
+ WHERE price_type = 'Consumption' AND currency_code = 'USD' AND unit_of_measure IN ('1K', '1M') AND retail_price IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY source_id, model_ref, direction, tier, coalesce(nullif(arm_region_name, ''), 'global') ORDER BY coalesce(CAST(is_primary_meter_region AS INT), 0) DESC, coalesce(effective_start_date, '') DESC, coalesce(meter_id, ''), v DESC) = 1)
+SELECT source_id, direction, tier, count(*) AS n, round(sum(v), 3) AS total FROM p GROUP BY ALL
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronodiff.operators import instants, nested, references, snapshots, units
 from chronodiff.plans.reference_queries import REFERENCE
+from chronodiff.plans.run_queries import RUNS
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,4 +42,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "p6_found": _tables("azure_retail_prices", "openrouter_models")(units.micro_prices),
     **REFERENCE,
+    **RUNS,
 }

@@ -5,6 +5,7 @@ Where a table has no two snapshots, both are made of it by rules on its keys, th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,10 @@ from pyspark.sql import functions as F
 from chronodiff.functions import identity as I
 from chronodiff.functions import urls as U
 from chronodiff.operators import corroborate, diff, events, fold, guards, integrity, references, watch
+from chronodiff.session import shared_folder
 from chronodiff.sources import normalize, pages, registry, store
+from chronodiff.streaming import ingest
+from chronodiff.streaming.corroborate import dispatch_stream
 
 
 def _read(spark: SparkSession, d: str, t: str) -> DataFrame:
@@ -148,10 +152,6 @@ def dangling_refs(spark, d):
     return integrity.check_store(_read(spark, d, "change_events"), _read(spark, d, "manifests"), _read(spark, d, "sources")).groupBy("code", "message").agg(F.count(F.lit(1)).alias("n"))
 
 
-def misplaced_ids(spark, d):
-    return integrity.wrong_ids(_read(spark, d, "change_events"))
-
-
 def seq_contiguity(spark, d):
     return integrity.gaps(_read(spark, d, "lineitem").where("l_linenumber <> 2 or l_orderkey % 3 = 0"), "l_orderkey", "l_linenumber").select("code", "subject")
 
@@ -271,11 +271,6 @@ def email_scan(spark, d):
     return guards.emails(guards.text_lines(x, "doc_id", "t"), "doc_id", "line", "text").withColumn("line", F.col("line").cast("bigint"))
 
 
-def secret_scan(spark, d):
-    e = _read(spark, d, "change_events").select("row_id", "data")
-    return guards.secrets(guards.pointers(e, "row_id", "data"), "row_id")
-
-
 def write_scopes(spark, d):
     w = _read(spark, d, "manifests").select("row_id", F.col("source_id").alias("writer"), "path")
     scopes = spark.createDataFrame([("-status$", "manifests/evidence/"), ("^arbrix-", "manifests/"), ("-price-list$", "manifests/evidence/corvale")], "pattern string, prefix string")
@@ -313,22 +308,35 @@ def section_names(spark, d):
     return pages.heading_sections(x, "doc_id", pages.Rule()).select("doc_id", F.col("n").cast("bigint").alias("n"), "name", F.length("text").cast("bigint").alias("chars"))
 
 
-def corroborate_batch(spark, d):
+def _observed(spark, d):
     cols = ["row_id", "landed_at", "provider", "model_id", "event_type", "observed_at", "source_ids"]
     e = _read(spark, d, "change_events").withColumn("source_ids", F.col("evidence.source_id"))
     e = references.first_delivery(e, "id", cols)
     x = e.select("row_id", "landed_at", "provider", F.col("model_id").alias("model"), "event_type", F.lit("models[].id").alias("field_path"), F.when(F.col("event_type") == "model.deprecated", F.col("model_id")).alias("old"), F.when(F.col("event_type") != "model.deprecated", F.col("model_id")).alias("new"), "observed_at", "source_ids", F.lit(False).alias("absence"))
     # Each observation is dispatched at its own time; those of one change at one instant are one, with the sources of all.
     good, _ = events.identified(x)
-    return corroborate.dispatch(events.with_sources(good, ["id", "observed_at"], "source_ids", ["landed_at", "row_id"], _read(spark, d, "sources")))
+    return events.with_sources(good, ["id", "observed_at"], "source_ids", ["landed_at", "row_id"], _read(spark, d, "sources"))
+
+
+def corroborate_batch(spark, d):
+    return corroborate.dispatch(_observed(spark, d))
+
+
+def corroborate_stream(spark, d):
+    """The rows of corroborate_batch from a stream over the same observations."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    rows = _observed(spark, d)
+    rows.write.parquet(f"{folder}/in")
+    ingest.replay(dispatch_stream(ingest.landed(spark, f"{folder}/in", rows.schema)), f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.schema(corroborate.OUT).parquet(f"{folder}/out")
 
 
 REFERENCE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         diff_models, diff_prices, diff_row_counts, diff_status, diff_docs, set_changes, stance_changes, mint_event_ids, minted_and_excepted, evidence_union, dup_within_72h, candidates_72h, reversal_pairs,
-        independent_sources, robots_stance, alias_index, provider_of_models, corrected_by, dangling_refs, misplaced_ids, seq_contiguity, next_seq, fold_status, running_status, status_as_of, derived_state, event_totals, latest_snapshot,
+        independent_sources, robots_stance, alias_index, provider_of_models, corrected_by, dangling_refs, seq_contiguity, next_seq, fold_status, running_status, status_as_of, derived_state, event_totals, latest_snapshot,
         absent_events, cited_manifests, sources_of_urls, refused_urls, source_kinds, canonical_urls, meter_tokens, retail_rows, unpivot_costs, model_payloads, incident_payloads, keyword_lifecycle, text_hashes, slugs,
-        email_scan, secret_scan, write_scopes, rewritten_paths, blocked_collection, pins_missed, sentences, quote_states, section_names, corroborate_batch,
+        email_scan, write_scopes, rewritten_paths, blocked_collection, pins_missed, sentences, quote_states, section_names, corroborate_batch, corroborate_stream,
     )
 }

@@ -90,6 +90,11 @@ def changes(spark, data):
     return {tuple(r) for r in out.collect()}
 
 
+def test_changes_of_a_series_without_name(spark):
+    rows = [(None, 1, at(0), "a", at(0), 1, "x", "-"), (None, 2, at(1), "b", at(1), 2, "x", "-")]
+    assert changes(spark, rows) == {(None, 2, "a", "removed"), (None, 2, "b", "added")}
+
+
 def test_changes_of_odd_rows(spark):
     # Ids of snapshots don't follow time; the later landed of equal keys counts, ties by row; a null key and value are states.
     data = [(1, 9, at(0), "a", at(1), 1, "x", "-"), (1, 9, at(0), None, at(1), 2, None, "-"), (1, 9, at(0), "b", at(1), 3, "x", "-"), (1, 5, at(2), "a", at(5), 4, "x", "-"), (1, 5, at(2), "a", at(3), 5, "y", "-"),

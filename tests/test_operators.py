@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from chronodiff.operators import corroborate as C
 from chronodiff.operators import diff, events, fold, guards, integrity, watch
 from chronodiff.plans.reference_queries import REFERENCE as QUERIES
+from chronodiff.streaming import ingest
 from chronodiff.streaming.corroborate import dispatch_stream
 
 T0 = dt.datetime(2026, 7, 1, 6, tzinfo=dt.UTC)
@@ -280,3 +281,29 @@ def test_watch(spark):
     assert x.select(watch.sentences_with(F.col("t"), "service", "excluded").alias("s")).first().s == ["The Service is excluded!", "the excluded service."]
     q = spark.createDataFrame([("a  quote here",), ("nothing",)], "t string")
     assert [r.state for r in watch.quote_state(q, "t", "quote here", None).collect()] == ["quoted", "lapsed"] and watch.quote_state(q, "t", "quote here", "0").first().state == "changed"
+
+
+def test_stream_of_all_observations_is_the_batch(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = lambda q: sorted(map(tuple, QUERIES[q](spark, sf).collect()), key=repr)
+    assert rows("corroborate_stream") == rows("corroborate_batch") != []
+
+
+def test_pieces_of_a_key(spark):
+    at = [0, 71, 143, 215, 216, 300, 400]
+    d = spark.createDataFrame([("p", None, "f", "x", C.HOUR * a) for a in at] + [("q", None, "f", "x", 5)], "provider string, model string, field_path string, family string, at bigint")
+    out = {(r.provider, r.at // C.HOUR): r._piece // C.HOUR for r in C.pieces(d.unionByName(d)).collect()}
+    assert out == {("p", 0): 0, ("p", 71): 0, ("p", 143): 143, ("p", 215): 215, ("p", 216): 215, ("p", 300): 300, ("p", 400): 400, ("q", 0): 0}
+    assert C.pieces(d.limit(0)).count() == 0
+
+
+def test_ingest(spark, tmp_path):
+    rows = lambda *x: spark.createDataFrame(list(x), "id string, v int")
+    inbox, table, check = (str(tmp_path / x) for x in ("in", "t", "c"))
+    rows(("a", 1), ("b", 2)).write.parquet(f"{inbox}/1")
+    take = lambda: ingest.ingest(ingest.landed(spark, inbox, "id string, v int"), table, "id", check)
+    take()
+    rows(("b", 9), ("c", 3)).write.parquet(f"{inbox}/2")
+    take()
+    take()
+    assert {tuple(r) for r in spark.read.parquet(table).collect()} == {("a", 1), ("b", 2), ("c", 3)}
