@@ -135,7 +135,7 @@ def built(deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def collect(landed: DataFrame, tasks: list[Task], previous: dict[str, DataFrame], aliases: DataFrame, providers: DataFrame, sources: DataFrame, stored: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The tables of a run: ``snapshot:<kind>``, deltas, events, actions, exceptions, report.
+    """The tables of a run: ``snapshot:<kind>``, deltas, events, actions with what they write (annotations, drafts, conflicts), exceptions, report.
 
     Landed: (source_id, run_ts, payload), the bytes' text of each source that answered, one row each; ``previous``: the last snapshot of
     each kind; ``aliases``: (namespace, alias, canonical_id); ``providers``: (namespace, prefix, provider), prefix `` for a whole
@@ -162,6 +162,9 @@ def collect(landed: DataFrame, tasks: list[Task], previous: dict[str, DataFrame]
     first = F.min_by(F.struct("observed_at", *rest, "source_id"), F.struct("observed_at", "collector", "subject")).alias("_r")
     out["events"] = united.groupBy("id").agg(first, F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform("sources", lambda s: s.source_id))))).alias("source_ids")).select("id", "_r.*", "source_ids")
     out["actions"] = corroborate.dispatch(united.withColumn("absence", F.coalesce(F.get_json_object("data", "$.source_kind") == "api-absence", F.lit(False))), stored)
+    out["actions"] = settled(out["actions"])
+    written = corroborate.outcomes(out["actions"])
+    out["annotations"], out["drafts"], out["conflicts"] = written["annotations"], written["drafts"], written["exceptions"]
     out["exceptions"] = bad.select("collector", "source_id", "reason", "field_path", "delta_kind", "subject", "old", "new", "observed_at")
     out["report"] = report(plan, landed, deltas, good, out["exceptions"])
     return out

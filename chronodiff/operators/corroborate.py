@@ -151,6 +151,24 @@ def dispatch(changes: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     return d.mapInPandas(run, OUT)
 
 
+#: What an action writes to its candidate's chain.
+ANNOTATED = {"corroborated": "corroboration", "mirror": "mirror-corroborated", "rollback": "rollback", "flap": "flap", "discrepancy": "discrepancy"}
+
+
+def outcomes(actions: DataFrame) -> dict[str, DataFrame]:
+    """What a dispatch writes: ``annotations`` (event_id, kind, at, by, source_id) for a candidate's chain, ``drafts`` (event_id, by) of
+    candidates that an independent source confirmed, and ``exceptions`` (event_id, reason, by) of values that contradict each other.
+
+    A mint writes its event and an action `already` nothing. Each row is there once, however often it was observed.
+    """
+    kind = F.element_at(F.create_map(*[F.lit(x) for kv in ANNOTATED.items() for x in kv]), F.col("action"))
+    a = actions.withColumn("kind", kind).where(F.col("kind").isNotNull() & F.col("candidate").isNotNull())
+    notes = a.select(F.col("candidate").alias("event_id"), "kind", "at", F.col("id").alias("by"), "source_id").distinct()
+    drafts = notes.where("kind = 'corroboration'").select("event_id", "by").distinct()
+    conflicts = notes.where("kind = 'discrepancy'").select("event_id", F.lit("value-conflict").alias("reason"), "by").distinct()
+    return {"annotations": notes, "drafts": drafts, "exceptions": conflicts}
+
+
 def dump(opened: list[Open]) -> str:
     return json.dumps([asdict(o) for o in opened])
 

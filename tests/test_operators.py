@@ -289,6 +289,13 @@ def test_stream_of_all_observations_is_the_batch(spark):
     assert rows("corroborate_stream") == rows("corroborate_batch") != []
 
 
+def test_outcomes(spark):
+    rows = [("n1", "mint", None, "s", 1), ("n2", "corroborated", "n1", "t", 2), ("n2", "corroborated", "n1", "t", 2), ("n3", "mirror", "n1", "u", 3), ("n4", "already", "n1", "t", 4), ("n5", "rollback", "n1", None, 5), ("n6", "discrepancy", "n1", "s", 6)]
+    out = C.outcomes(spark.createDataFrame(rows, C.OUT))
+    assert {tuple(r) for r in out["annotations"].collect()} == {("n1", "corroboration", 2, "n2", "t"), ("n1", "mirror-corroborated", 3, "n3", "u"), ("n1", "rollback", 5, "n5", None), ("n1", "discrepancy", 6, "n6", "s")} and out["annotations"].count() == 4
+    assert [tuple(r) for r in out["drafts"].collect()] == [("n1", "n2")] and [tuple(r) for r in out["exceptions"].collect()] == [("n1", "value-conflict", "n6")]
+
+
 def test_pieces_of_a_key(spark):
     at = [0, 71, 143, 215, 216, 300, 400]
     d = spark.createDataFrame([("p", None, "f", "x", C.HOUR * a) for a in at] + [("q", None, "f", "x", 5)], "provider string, model string, field_path string, family string, at bigint")
