@@ -13,18 +13,20 @@ from fractions import Fraction
 from itertools import islice
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronodiff.llm.encoding import sizes
 from chronodiff.operators.joins import BROADCAST_ROWS, bounded
+from chronodiff.session import settled
 
 #: Tokens of a block.
 BLOCK = 2048
 #: Slots that a worker hands on at once.
 BATCH = 10_000
+#: Most targets of all mixes together.
+TARGETS = 100_000
 #: Documents of one piece of a source's order.
 PIECE = 20_000
 
@@ -155,19 +157,22 @@ def mix(docs: DataFrame, targets: DataFrame, block: int = BLOCK, total: int | No
     tokens is never taken. Report: (mix_id, source, target_share, actual_share, tokens, docs, most_repeats,
     max_repeats, available_tokens), a row for each target.
 
-    Collected are one row per target and one number per source of a target. The schedule is made on the workers, a row
+    Collected are the targets (at most TARGETS, else this raises) and one number per source of a target. The schedule is made on the workers, a row
     for each block; it is broadcast if it is short, else documents taken and schedule shuffle to each other. Documents
     shuffle once into their order.
     """
     wanted = bounded(targets.where(F.col("source").isNotNull()).select("source").distinct())
-    n = sizes(docs.join(wanted, "source", "left_semi"), ["doc_id", "source"], **tokenizer).persist(StorageLevel.DISK_ONLY)
-    n = n.where(F.col("n_tokens") > 0)
+    asked = targets.select("mix_id", "source", "weight", "max_repeats").limit(TARGETS + 1).collect()
+    if len(asked) > TARGETS:
+        raise ValueError(f"more than {TARGETS} targets")
+    # Counted once: the order of the documents and the sums read it.
+    n = settled(sizes(docs.join(wanted, "source", "left_semi"), ["doc_id", "source"], **tokenizer).where(F.col("n_tokens") > 0))
     have = {r.source: r.t for r in n.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
-    rows, _ = plan([r.asDict() for r in targets.select("mix_id", "source", "weight", "max_repeats").collect()], have, block, total)
+    rows, _ = plan([r.asDict() for r in asked], have, block, total)
     spark = docs.sparkSession
     wants = spark.createDataFrame([tuple(r.values()) for r in rows], "mix_id string, source string, target_share double, max_repeats bigint, available_tokens bigint, quota bigint, blocks bigint, slots bigint")
 
-    d = ordered(n).join(F.broadcast(wants.where("quota > 0").select("mix_id", "source", "quota")), "source")
+    d = ordered(n).join(bounded(wants.where("quota > 0").select("mix_id", "source", "quota")), "source")
     # Passes over the source until the quota; the document in which it falls is taken whole if that stays within the cap.
     passes = F.ceil((F.col("quota") - F.col("begin")) / F.col("source_tokens"))
     d = d.withColumn("_n", passes).where("_n > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
@@ -176,7 +181,7 @@ def mix(docs: DataFrame, targets: DataFrame, block: int = BLOCK, total: int | No
 
     got = d.groupBy("mix_id", "source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"), (F.max("pass") + 1).alias("most_repeats"))
     all_of = W.partitionBy("mix_id")
-    report = wants.join(F.broadcast(got), ["mix_id", "source"], "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+    report = wants.join(got, ["mix_id", "source"], "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
     report = report.select("mix_id", "source", "target_share", F.coalesce(F.col("tokens") / F.nullif(F.sum("tokens").over(all_of), F.lit(0)), F.lit(0.0)).alias("actual_share"), "tokens",
                            F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), "max_repeats", "available_tokens")
     return taken, report
