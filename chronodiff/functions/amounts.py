@@ -101,17 +101,19 @@ def unit_words(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT word, CAST(factor AS DECIMAL(12, 0)) AS factor, thing FROM VALUES {rows} AS t(word, factor, thing)")
 
 
-def number_text(text: Column) -> Column:
-    """The first number of a text as plain digits with a point, or null; a comma after which no point comes is a decimal comma."""
+def number_in(text: Column) -> Column:
+    """The first number of a text as it is written, blank if there is none."""
     n = F.regexp_extract(text, r"([-+]?\d[\d.,]*(?:[eE][-+]?\d+)?|[-+]?\.\d+(?:[eE][-+]?\d+)?)", 1)
-    n = F.regexp_replace(n, r"[.,]+$", "")
-    point = F.regexp_replace(n, r",", "")
-    comma = F.regexp_replace(F.regexp_replace(n, r"\.", ""), ",", ".")
-    last_comma = F.length(n) - F.locate(",", F.reverse(n))
-    last_point = F.length(n) - F.locate(".", F.reverse(n))
-    has_c, has_p = n.contains(","), n.contains(".")
-    many_c = n.rlike(",.*,")
-    return F.when(n == "", F.lit(None)).when(has_c & (~has_p & ~many_c | has_p & (last_comma > last_point)), comma).otherwise(point)
+    return F.rtrim(n, F.lit(".,"))
+
+
+def plain_number(n: Column) -> Column:
+    """A number as plain digits with a point, null if it is blank; a comma after which no point comes is a decimal comma, several aren't."""
+    point, comma = F.replace(n, F.lit(",")), F.replace(F.replace(n, F.lit(".")), F.lit(","), F.lit("."))
+    one_comma = F.length(n) - F.length(point) == 1
+    last_comma, last_point = F.instr(F.reverse(n), ","), F.instr(F.reverse(n), ".")
+    decimal = F.when(last_point == 0, one_comma).otherwise((last_comma > 0) & (last_comma < last_point))
+    return F.when(n == "", F.lit(None)).when(decimal, comma).otherwise(point)
 
 
 def with_price_text(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -121,20 +123,26 @@ def with_price_text(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     t = tidy(F.col(text))
     bare = t.rlike(r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:e[-+]?\d+)?$")
-    d = df.withColumn("_t", t).withColumn("_bare", bare)
-    d = d.withColumn("_num", F.when(F.col("_bare"), F.col("_t")).otherwise(number_text(F.col("_t"))))
-    rest = F.regexp_replace("_t", r"[-+]?(?:\d[\d.,]*)(?:e[-+]?\d+)?", "#")
-    cents = F.col("_t").rlike(r"¢|\bcents?\b")
+    # What is said beside the number is looked at only where there is something beside it.
+    d = df.withColumn("_t", t).withColumn("_bare", F.coalesce(bare, F.lit(True)))
+    d = d.withColumn("_said", F.when(~F.col("_bare"), F.col("_t")))
+    # In columns of their own, so that each is computed once.
+    d = d.withColumn("_in", number_in(F.col("_said")))
+    d = d.withColumn("_amount", F.when(F.col("_bare"), F.col("_t")).otherwise(plain_number(F.col("_in"))).try_cast("decimal(30,18)"))
+    rest = F.regexp_replace("_said", r"[-+]?(?:\d[\d.,]*)(?:e[-+]?\d+)?", "#")
+    cents = F.col("_said").rlike(r"¢|\bcents?\b")
     # Behind the price's own number stands the denominator.
-    tail = F.regexp_extract("_t", r"^\D*?[-+]?(?:\d[\d.,]*|\.\d+)(?:e[-+]?\d+)?\s*(?:us\s*cents?|cents?|¢|usd|us\$|\$|dollars?)?\s*(?:/|per\b|je\b)?\s*(.*)$", 1)
+    tail = F.regexp_extract("_said", r"^\D*?[-+]?(?:\d[\d.,]*|\.\d+)(?:e[-+]?\d+)?\s*(?:us\s*cents?|cents?|¢|usd|us\$|\$|dollars?)?\s*(?:/|per\b|je\b)?\s*(.*)$", 1)
     money = rest.rlike(r"\$|\busd\b|¢|\bcents?\b|\bdollars?\b")
-    d = d.withColumn("_money", money & ~F.col("_t").rlike(_OTHER_MONEY)).withColumn("_c", cents)
-    d = d.withColumn("_unit", F.when(F.col("_bare"), F.lit("1")).otherwise(tail))
+    d = d.withColumn("_money", F.when(~F.col("_bare"), money & ~F.col("_said").rlike(_OTHER_MONEY))).withColumn("_c", F.when(~F.col("_bare"), cents))
+    d = d.withColumn("_unit", F.when(~F.col("_bare"), tail))
     d = with_unit(d, "_unit", "_q")
-    amount = F.col("_num").try_cast("decimal(30,18)")
-    ok = (F.col("_bare") | F.col("_money")) & F.col("_q_tokens") & (amount >= 0)
-    d = d.withColumn(out, F.when(ok, per_million(amount, F.col("_c"), F.col("_q_count"))))
-    return d.drop("_t", "_bare", "_num", "_money", "_c", "_unit", "_q_cents", "_q_count", "_q_tokens")
+    amount = F.col("_amount")
+    said = F.when(F.col("_money") & F.col("_q_tokens"), per_million(amount, F.col("_c"), F.col("_q_count")))
+    # The default of a price alone: dollars for one token.
+    alone = per_million(amount, F.lit(False), F.lit(1))
+    d = d.withColumn(out, F.when(amount >= 0, F.when(F.col("_bare"), alone).otherwise(said)))
+    return d.drop("_t", "_bare", "_said", "_in", "_amount", "_money", "_c", "_unit", "_q_cents", "_q_count", "_q_tokens")
 
 
 def per_million(amount: Column, cents: Column, count: Column) -> Column:
