@@ -99,6 +99,16 @@ def latest_within(observed: DataFrame, candidates: DataFrame, keys: list[str], a
     return d.withColumn("candidate", F.when(near, found["_id"])).drop("_c")
 
 
+def first_own_manifest(evidence: Column, source: Column) -> Column:
+    """The first manifest path that a source's own evidence cites; null if none does."""
+    return F.get(F.filter(evidence, lambda e: (e["source_id"] == source) & e["manifest_path"].isNotNull()), F.lit(0))["manifest_path"]
+
+
+def kinds_overlap(kinds: Column, of: list[str]) -> Column:
+    """Whether an array of annotation kinds has any of some; null has none."""
+    return F.coalesce(F.arrays_overlap(F.array_compact(kinds), F.array(*[F.lit(k) for k in of])), F.lit(False))
+
+
 def lineage(source_class: Column, line: Column, mirror: Column) -> Column:
     """The lineage that independence compares: mirrors and docs share one, probes have their own, others that of their class."""
     docs = (line == "third-party-aggregator") | mirror | (source_class == "provider-docs")

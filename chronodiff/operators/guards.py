@@ -63,6 +63,14 @@ def emails(lines: DataFrame, key: str, line: str, text: str, allowed: list[str]
     return d.where(~F.lower(F.substring_index("_m", "@", -1)).isin(list(allowed))).select(key, line, masked(F.col("_m")).alias("masked"))
 
 
+def allowed(path: Column, prefixes: list[str]) -> Column:
+    """Whether a path is one of the prefixes, or under one."""
+    out = F.lit(False)
+    for p in prefixes:
+        out = out | (path == p.rstrip("/")) | path.startswith(p.rstrip("/") + "/")
+    return out
+
+
 def text_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, line, text): the lines of each text from 1."""
     return docs.select(key, F.posexplode(F.split(text, "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)

@@ -289,6 +289,13 @@ def test_stream_of_all_observations_is_the_batch(spark):
     assert rows("corroborate_stream") == rows("corroborate_batch") != []
 
 
+def test_small_lookups(spark):
+    d = spark.createDataFrame([("docs/a", True), ("docs", True), ("docsy/a", False), ("x/y", True), (None, None)], "p string, w boolean")
+    assert all(r.g == r.w for r in d.select(guards.allowed(F.col("p"), ["docs/", "x"]).alias("g"), "w").collect())
+    e = spark.createDataFrame([([("a", None), ("b", "m0"), ("a", "m1"), ("a", "m2")], "a", ["x", None], "m1", False), ([], "a", ["flap"], None, True), (None, "a", None, None, False)], "e array<struct<source_id string, manifest_path string>>, s string, k array<string>, m string, f boolean")
+    assert all((r.g, r.o) == (r.m, r.f) for r in e.select(events.first_own_manifest(F.col("e"), F.col("s")).alias("g"), events.kinds_overlap(F.col("k"), ["flap", "rollback"]).alias("o"), "m", "f").collect())
+
+
 def test_outcomes(spark):
     rows = [("n1", "mint", None, "s", 1), ("n2", "corroborated", "n1", "t", 2), ("n2", "corroborated", "n1", "t", 2), ("n3", "mirror", "n1", "u", 3), ("n4", "already", "n1", "t", 4), ("n5", "rollback", "n1", None, 5), ("n6", "discrepancy", "n1", "s", 6)]
     out = C.outcomes(spark.createDataFrame(rows, C.OUT))
