@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from chronodiff.operators import instants, nested, references, snapshots, units
 from chronodiff.plans.reference_queries import REFERENCE
 from chronodiff.plans.run_queries import RUNS
+from chronodiff.session import prepare
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _tables(*names: str):

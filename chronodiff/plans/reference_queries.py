@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from chronodiff.functions import identity as I
 from chronodiff.functions import urls as U
 from chronodiff.operators import corroborate, diff, events, fold, guards, integrity, references, watch
-from chronodiff.session import shared_folder
+from chronodiff.session import prepare, shared_folder
 from chronodiff.sources import normalize, pages, registry, store
 from chronodiff.streaming import ingest
 from chronodiff.streaming.corroborate import dispatch_stream
 
 
 def _read(spark: SparkSession, d: str, t: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{t}.parquet")
+    return prepare(spark).read.parquet(f"{d}/{t}.parquet")
 
 
 def _part_models(spark, d):

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronodiff.operators import collect, diff, events, fold, guards, integrity, schemas, watch
+from chronodiff.session import prepare
 from chronodiff.sources import normalize, pages, registry, store
 
 
 def _read(spark: SparkSession, d: str, t: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{t}.parquet")
+    return prepare(spark).read.parquet(f"{d}/{t}.parquet")
 
 
 EVIDENCE = {"$id": "urn:evidence", "type": "object", "required": ["url"], "properties": {"url": {"format": "uri"}, "http_status": {"anyOf": [{"type": "null"}, {"type": "integer", "minimum": 100, "maximum": 599}]}}}

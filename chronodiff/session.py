@@ -17,10 +17,23 @@ SETTINGS = {
 }
 
 
+#: Settings for the speed of long expressions: HotSpot leaves methods of more than 8,000 bytes uncompiled, so a generated one that is
+#: longer is slower than the same plan without whole-stage code.
+RUNTIME = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Sets RUNTIME in a session that somebody else made, where it isn't set; the queries do so, the operators don't."""
+    for k, v in RUNTIME.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+    return spark
+
+
 def build_session(cpus: int | str = 8, memory: str = "8g", name: str = "chronodiff") -> SparkSession:
     """A local session for tests and bench; on a cluster the caller brings its own session."""
     b = SparkSession.builder.master(f"local[{cpus}]").appName(name)
-    for k, v in SETTINGS.items():
+    for k, v in (SETTINGS | RUNTIME).items():
         b = b.config(k, v)
     return (
         b.config("spark.driver.memory", memory)
