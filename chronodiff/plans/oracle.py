@@ -179,8 +179,8 @@ SELECT row_id, key, 'evt_' || strftime(observed_at AT TIME ZONE 'UTC', '%Y%m%d')
 """,
     "minted_and_excepted": """
 WITH x AS (SELECT *, CASE WHEN event_type = 'correction.issued' THEN 'unclassified' WHEN provider IS NULL THEN 'provider-unmapped' WHEN model_id IS NULL AND NOT starts_with(event_type, 'outage.') THEN 'alias-unmapped' END AS reason FROM change_events)
-SELECT reason, count(*) AS n FROM x WHERE reason IS NOT NULL GROUP BY reason UNION ALL
-SELECT 'minted', count(*) FROM (SELECT DISTINCT strftime(observed_at AT TIME ZONE 'UTC', '%Y%m%d'), provider, model_id, event_type FROM x WHERE reason IS NULL)
+SELECT reason, CASE WHEN event_type <> 'correction.issued' THEN event_type END AS event_type, count(*) AS n FROM x WHERE reason IS NOT NULL GROUP BY 1, 2 UNION ALL
+SELECT 'minted', event_type, count(*) FROM (SELECT DISTINCT strftime(observed_at AT TIME ZONE 'UTC', '%Y%m%d'), provider, model_id, event_type FROM x WHERE reason IS NULL) GROUP BY event_type
 """,
     "evidence_union": """
 WITH x AS (SELECT id, row_id, unnest(evidence) AS e, generate_subscripts(evidence, 1) AS pos FROM change_events)
@@ -214,7 +214,7 @@ SELECT row_id, CASE WHEN s BETWEEN 200 AND 299 THEN NOT regexp_matches(p, '^/.*-
 WITH e AS (SELECT canonical_id, unnest(map_entries(aliases)) AS e FROM model_aliases), a AS (SELECT canonical_id, e.key AS namespace, unnest(e.value) AS alias FROM e)
 SELECT namespace, alias, max(canonical_id) AS canonical_id FROM a GROUP BY namespace, alias
 """,
-    "provider_of_models": "SELECT row_id, CASE WHEN split_part(id, '/', 1) IN ('arbrix', 'corvale', 'halcyra', 'mistwell', 'norvane') AND contains(id, '/') THEN split_part(id, '/', 1) END AS provider FROM openrouter_models",
+    "provider_of_models": "SELECT row_id, (SELECT min(provider) FROM model_aliases a WHERE contains(m.id, '/') AND a.provider = split_part(m.id, '/', 1)) AS provider FROM openrouter_models m",
     "corrected_by": "SELECT correction_of AS id, string_agg(DISTINCT id, ',' ORDER BY id) AS correctors FROM change_events WHERE correction_of IS NOT NULL GROUP BY correction_of",
     "dangling_refs": """
 WITH x AS (SELECT id, unnest(evidence) AS e FROM change_events),
@@ -290,7 +290,7 @@ SELECT doc_id, line, substr(m, 1, 1) || '***@' || split_part(m, '@', 2) AS maske
     "write_scopes": """
 SELECT row_id FROM manifests WHERE NOT ((regexp_matches(source_id, '-status$') AND starts_with(path, 'manifests/evidence/')) OR (regexp_matches(source_id, '^arbrix-') AND starts_with(path, 'manifests/')) OR (regexp_matches(source_id, '-price-list$') AND starts_with(path, 'manifests/evidence/corvale')))
 """,
-    "rewritten_paths": "SELECT CASE WHEN row_id % 3 = 1 THEN 'M' ELSE 'R' END AS status, count(*) AS n FROM manifests WHERE row_id % 3 > 0 AND starts_with(path, 'manifests/') GROUP BY 1",
+    "rewritten_paths": "SELECT CASE WHEN row_id % 3 = 1 THEN 'M' ELSE 'R' END AS status, path FROM manifests WHERE row_id % 3 > 0 AND starts_with(path, 'manifests/')",
     "blocked_collection": "SELECT lineage AS host, bool_or(NOT excluded AND source_id LIKE '%-1') AS blocking FROM sources GROUP BY lineage",
     "pins_missed": "SELECT source_id, coalesce(zone, 'UTC') AS want, CASE WHEN zone <> 'Asia/Tokyo' THEN zone END AS have FROM sources WHERE zone IS NULL OR zone = 'Asia/Tokyo'",
     "quote_states": f"SELECT CASE WHEN contains(trim(regexp_replace(nfc_normalize(text), '{_WS}+', ' ', 'g')), 'No data was lost') THEN 'quoted' ELSE 'lapsed' END AS state, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
@@ -312,3 +312,7 @@ WITH t AS ({_NAMES}), p AS (SELECT source_id, direction, tier, round(retail_pric
  QUALIFY row_number() OVER (PARTITION BY source_id, model_ref, direction, tier, coalesce(nullif(arm_region_name, ''), 'global') ORDER BY coalesce(CAST(is_primary_meter_region AS INT), 0) DESC, coalesce(effective_start_date, '') DESC, coalesce(meter_id, ''), v DESC) = 1)
 SELECT source_id, direction, tier, count(*) AS n, round(sum(v), 3) AS total FROM p GROUP BY ALL
 """
+_REFS = ORACLE["p4_found"].split(" k AS (SELECT refs.*")[0].rstrip().rstrip(",")
+ORACLE["p4_keys"] = f"""{_REFS}
+SELECT CASE refs.field WHEN 'source_id' THEN 'sources' WHEN 'manifest_path' THEN 'manifests' ELSE 'change_events' END AS target_table, refs.key, count(*) AS refs, epoch_us(min(t.a)) AS first_us, epoch_us(max(t.d)) AS gone_us
+FROM refs LEFT JOIN t ON refs.field = t.field AND refs.key = t.key WHERE refs.key IS NOT NULL AND (t.key IS NULL OR t.d IS NOT NULL) GROUP BY 1, 2"""

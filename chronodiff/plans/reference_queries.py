@@ -90,7 +90,7 @@ def mint_event_ids(spark, d):
 def minted_and_excepted(spark, d):
     e = _read(spark, d, "change_events").select("row_id", "provider", F.col("model_id").alias("model"), F.when(F.col("event_type") != "correction.issued", F.col("event_type")).alias("event_type"), F.lit("models[].id").alias("field_path"), F.lit(None).cast("string").alias("old"), F.col("model_id").alias("new"), "observed_at")
     good, bad = events.mint(e)
-    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(good.agg(F.lit("minted").alias("reason"), F.count(F.lit(1)).alias("n")))
+    return bad.groupBy("reason", "event_type").agg(F.count(F.lit(1)).alias("n")).unionByName(good.groupBy(F.lit("minted").alias("reason"), "event_type").agg(F.count(F.lit(1)).alias("n")))
 
 
 def evidence_union(spark, d):
@@ -139,9 +139,10 @@ def alias_index(spark, d):
 
 
 def provider_of_models(spark, d):
-    m = _read(spark, d, "openrouter_models").select("row_id", "id")
-    names = {p: p for p in ("arbrix", "corvale", "halcyra", "mistwell", "norvane")}
-    return m.select("row_id", registry.resolve_provider(F.col("id"), names).alias("provider"))
+    m = _read(spark, d, "openrouter_models").select("row_id", "id", F.lit("router").alias("namespace"))
+    providers = _read(spark, d, "model_aliases").select(F.lit("router").alias("namespace"), F.col("provider").alias("prefix"), "provider").distinct()
+    nothing = spark.createDataFrame([], "namespace string, alias string, canonical_id string")
+    return registry.resolve_models(m, "id", nothing, providers).select("row_id", "provider")
 
 
 def corrected_by(spark, d):
@@ -279,7 +280,7 @@ def write_scopes(spark, d):
 
 def rewritten_paths(spark, d):
     m = _read(spark, d, "manifests").select(F.concat(F.when(F.col("row_id") % 3 == 0, "A").when(F.col("row_id") % 3 == 1, "M").otherwise("R100"), F.lit("\t"), "path", F.when(F.col("row_id") % 3 == 2, F.concat(F.lit("\tother/"), F.col("row_id").cast("string"))).otherwise("")).alias("line"))
-    return guards.rewrites(m, ["manifests/"]).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return guards.rewrites(m, ["manifests/"])
 
 
 def blocked_collection(spark, d):
