@@ -151,7 +151,7 @@ def dispatch(changes: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     return d.mapInPandas(run, OUT)
 
 
-#: What an action writes to its candidate's chain.
+# What an action writes to its candidate's chain.
 ANNOTATED = {"corroborated": "corroboration", "mirror": "mirror-corroborated", "rollback": "rollback", "flap": "flap", "discrepancy": "discrepancy"}
 
 

@@ -106,7 +106,10 @@ def quote_state(docs: DataFrame, text: str, quote: str, pinned: str | None) -> D
     return d.withColumn("state", F.when(~F.col("_p").contains(" ".join(quote.split())), "lapsed").when(same, "quoted").otherwise("changed")).drop("_p")
 
 
+# Severities and kinds of queue items.
 SEVERITIES = ("notice", "warning", "critical")
+STANCE_CHANGED, UNREACHABLE, SIGNALS_MISMATCH, STATE_SEEDED = "robots.stance-changed", "robots.unreachable", "robots.content-signals-mismatch", "robots.state-seeded"
+REFERENCE_SEEDED, LAPSE, SET_SEEDED, DOCUMENTS_CHANGED, UNHANDLED, FAILED = "sentinel.reference-seeded", "sentinel.verdict-lapse", "sentinel.state-seeded", "sentinel.document-appeared", "sentinel.unhandled", "sentinel.failed"
 ITEM = ["kind", "severity", "subject", "source_ids", "details", "queued_at"]
 
 
@@ -138,14 +141,14 @@ def recheck(hosts: DataFrame, answers: DataFrame, sources: DataFrame, previous:
     changed = changed.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(F.struct("field", "old", "new")))).alias("changes"))
     blocked = collection_blocking(rights(previous), rights(state))
     ids = now.select("host", "source_ids")
-    a = items(changed.join(blocked, "host", "left").join(ids, "host"), "robots.stance-changed", F.when(F.col("blocking"), "critical").otherwise("warning"), F.col("host"), F.col("source_ids"), F.col("changes"), run_ts)
-    b = items(now.where("fetched = 'unreachable'"), "robots.unreachable", F.lit("warning"), F.col("host"), F.col("source_ids"), F.lit("{}"), run_ts)
+    a = items(changed.join(blocked, "host", "left").join(ids, "host"), STANCE_CHANGED, F.when(F.col("blocking"), "critical").otherwise("warning"), F.col("host"), F.col("source_ids"), F.col("changes"), run_ts)
+    b = items(now.where("fetched = 'unreachable'"), UNREACHABLE, F.lit("warning"), F.col("host"), F.col("source_ids"), F.lit("{}"), run_ts)
     seen = state.where("fetched = 'ok'").select("host", "source_id", F.explode_outer("stance.signals").alias("signal", "observed"))
     missed = pins_missed(pins.join(state.select("host", "source_id"), "source_id"), seen.select("source_id", "signal", "observed"), ["source_id", "signal"], "pinned", "observed").join(state.select("host", "source_id"), "source_id")
     missed = missed.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(F.struct("source_id", "signal", "pinned", "observed")))).alias("_d"), F.array_sort(F.collect_set("source_id")).alias("_s"))
-    c = items(missed, "robots.content-signals-mismatch", F.lit("critical"), F.col("host"), F.col("_s"), F.col("_d"), run_ts)
+    c = items(missed, SIGNALS_MISMATCH, F.lit("critical"), F.col("host"), F.col("_s"), F.col("_d"), run_ts)
     new = now.join(before.select("host"), "host", "left_anti")
-    d = items(new, "robots.state-seeded", F.lit("notice"), F.col("host"), F.col("source_ids"), F.lit("{}"), run_ts)
+    d = items(new, STATE_SEEDED, F.lit("notice"), F.col("host"), F.col("source_ids"), F.lit("{}"), run_ts)
     report = now.select("host", "fetched").join(changed.select("host", F.lit(True).alias("changed")), "host", "left").join(new.select("host", F.lit(True).alias("seeded")), "host", "left")
     report = report.select("host", "fetched", F.coalesce("seeded", F.lit(False)).alias("seeded"), F.coalesce("changed", F.lit(False)).alias("changed"))
     return {"state": state, "items": a.unionByName(b).unionByName(c).unionByName(d), "report": report}
@@ -178,8 +181,8 @@ def quote_sentinel(docs: DataFrame, references: DataFrame, locate: tuple[str, ..
     d = d.withColumns({"reasons": F.array_compact(F.array(lost, moved)), "seeded": F.array_compact(F.array(F.when(F.col("quote").isNull() & F.col("_hit").isNotNull(), "quote"), F.when(F.col("digest").isNull() & F.col("_whole").isNotNull(), "digest")))})
     state = d.select("sentinel_id", F.coalesce("quote", "_hit").alias("quote"), F.coalesce("digest", "_whole").alias("digest"), F.when(F.size("reasons") > 0, "triggered").when(F.size("seeded") > 0, "seeded").otherwise("ok").alias("status"))
     none = F.lit(None).cast("array<string>")
-    a = items(d.where(F.size("seeded") > 0), "sentinel.reference-seeded", F.lit("notice"), F.col("sentinel_id"), none, F.to_json(F.struct("seeded")), run_ts)
-    b = items(d.where(F.size("reasons") > 0), "sentinel.verdict-lapse", F.lit("critical"), F.col("sentinel_id"), none, F.to_json(F.struct("reasons")), run_ts)
+    a = items(d.where(F.size("seeded") > 0), REFERENCE_SEEDED, F.lit("notice"), F.col("sentinel_id"), none, F.to_json(F.struct("seeded")), run_ts)
+    b = items(d.where(F.size("reasons") > 0), LAPSE, F.lit("critical"), F.col("sentinel_id"), none, F.to_json(F.struct("reasons")), run_ts)
     return {"state": state, "items": a.unionByName(b)}
 
 
@@ -191,8 +194,8 @@ def set_sentinel(seen: DataFrame, previous: DataFrame, run_ts: Column) -> dict[s
     at = lambda w: F.array_sort(F.collect_list(F.when(F.col("change") == w, F.col("document")))).alias(w)
     diffs = diffs.groupBy("sentinel_id").agg(F.to_json(F.struct(at("new"), at("removed"))).alias("_d"))
     none = F.lit(None).cast("array<string>")
-    a = items(new, "sentinel.state-seeded", F.lit("notice"), F.col("sentinel_id"), none, F.col("_d"), run_ts)
-    return {"state": seen, "items": a.unionByName(items(diffs, "sentinel.document-appeared", F.lit("warning"), F.col("sentinel_id"), none, F.col("_d"), run_ts))}
+    a = items(new, SET_SEEDED, F.lit("notice"), F.col("sentinel_id"), none, F.col("_d"), run_ts)
+    return {"state": seen, "items": a.unionByName(items(diffs, DOCUMENTS_CHANGED, F.lit("warning"), F.col("sentinel_id"), none, F.col("_d"), run_ts))}
 
 
 #: Kinds of sentinels, by name, and what checks them.
@@ -218,8 +221,8 @@ def run_sentinels(chosen: DataFrame, inputs: dict[str, tuple], run_ts: Column) -
                 failed.append(name)
     none = F.lit(None).cast("array<string>")
     idle = chosen.where(~F.coalesce(F.col("handler").isin([*inputs]) & F.col("handler").isin([*HANDLERS]), F.lit(False)))
-    parts.append(items(idle, "sentinel.unhandled", F.lit("warning"), F.col("sentinel_id"), none, F.to_json(F.struct("handler")), run_ts))
-    parts.append(items(chosen.where(F.col("handler").isin(failed)), "sentinel.failed", F.lit("warning"), F.col("sentinel_id"), none, F.to_json(F.struct("handler")), run_ts))
+    parts.append(items(idle, UNHANDLED, F.lit("warning"), F.col("sentinel_id"), none, F.to_json(F.struct("handler")), run_ts))
+    parts.append(items(chosen.where(F.col("handler").isin(failed)), FAILED, F.lit("warning"), F.col("sentinel_id"), none, F.to_json(F.struct("handler")), run_ts))
     out["items"] = reduce(lambda a, b: a.unionByName(b), parts)
     return out
 

@@ -316,3 +316,8 @@ _REFS = ORACLE["p4_found"].split(" k AS (SELECT refs.*")[0].rstrip().rstrip(",")
 ORACLE["p4_keys"] = f"""{_REFS}
 SELECT CASE refs.field WHEN 'source_id' THEN 'sources' WHEN 'manifest_path' THEN 'manifests' ELSE 'change_events' END AS target_table, refs.key, count(*) AS refs, epoch_us(min(t.a)) AS first_us, epoch_us(max(t.d)) AS gone_us
 FROM refs LEFT JOIN t ON refs.field = t.field AND refs.key = t.key WHERE refs.key IS NOT NULL AND (t.key IS NULL OR t.d IS NOT NULL) GROUP BY 1, 2"""
+ORACLE["sentences"] = r"""
+WITH s AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1)) AS s FROM documents),
+ n AS (SELECT doc_id, len(list_filter(s, lambda x: contains(lower(x), 'requests') AND contains(lower(x), 'per minute'))) AS n FROM s)
+SELECT doc_id, n FROM n WHERE n > 0
+"""
