@@ -302,8 +302,8 @@ def distinct_tokens(rows: DataFrame, name: str, contexts: frozenset[str]) -> Dat
     return rows.select(name).where(F.col(name).isNotNull()).mapInArrow(run, "token string").distinct()
 
 
-def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name: str = "meter_name", noise: list[str] | tuple[str, ...] = NOISE) -> DataFrame:
-    """(key, canonical_id) of each row whose name isn't null; UNMATCHED where it denotes no entry.
+def with_entries(rows: DataFrame, reference: DataFrame, name: str = "meter_name", out: str = "canonical_id", noise: list[str] | tuple[str, ...] = NOISE) -> DataFrame:
+    """The rows whose name isn't null, with ``out``: the entry of their name; UNMATCHED where it denotes none.
 
     A name denotes an entry if its family, numbers and variant words are all those of the entry, or if it is an alias
     name of it. Spelling within one edit, short forms, order, split words, accents, ``noise`` words, and those for provider, date code
@@ -331,10 +331,15 @@ def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name:
         for s in names:
             yield s.map(matcher)
 
-    return rows.where(F.col(name).isNotNull()).select(F.col(key), match(F.col(name)).alias("canonical_id"))
+    return rows.where(F.col(name).isNotNull()).withColumn(out, match(F.col(name)))
+
+
+def map_names(rows: DataFrame, reference: DataFrame, key: str = "row_id", name: str = "meter_name", noise: list[str] | tuple[str, ...] = NOISE) -> DataFrame:
+    """(key, canonical_id) of :func:`with_entries`."""
+    return with_entries(rows.select(key, name), reference, name, noise=noise).select(key, "canonical_id")
 
 
-def unmatched(rows: DataFrame, mapped: DataFrame, key: str = "row_id", name: str = "meter_name") -> DataFrame:
+def unmatched(rows: DataFrame, reference: DataFrame, name: str = "meter_name", noise: list[str] | tuple[str, ...] = NOISE) -> DataFrame:
     """(name, n): the names that denote no entry, with their numbers of rows; counted before the shuffle."""
-    u = mapped.where(F.col("canonical_id") == UNMATCHED).select(key)
-    return rows.join(u, key).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    d = with_entries(rows.select(name), reference, name, "_entry", noise).where(F.col("_entry") == UNMATCHED)
+    return d.groupBy(name).agg(F.count(F.lit(1)).alias("n"))

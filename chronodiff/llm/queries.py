@@ -14,14 +14,9 @@ def _documents(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, s
     return lambda spark, d: f(read(spark, d, "documents"))
 
 
-def _unmatched(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "azure_retail_prices").select("row_id", "meter_name")
-    return canonical.unmatched(rows, canonical.map_names(rows, read(spark, d, "model_aliases")))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": lambda spark, d: canonical.map_names(read(spark, d, "azure_retail_prices"), read(spark, d, "model_aliases")),
-    "p1_unmatched": _unmatched,
+    "p1_unmatched": lambda spark, d: canonical.unmatched(read(spark, d, "azure_retail_prices"), read(spark, d, "model_aliases")),
     "p7_ids": _documents(encoding.encode),
     "p8_mix": lambda spark, d: mixing.mix(read(spark, d, "documents"), read(spark, d, "mix_targets"))[0],
     "p8_report": lambda spark, d: mixing.mix(read(spark, d, "documents"), read(spark, d, "mix_targets"))[1],

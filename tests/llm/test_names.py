@@ -53,7 +53,7 @@ def test_names(spark):
     rows = spark.createDataFrame(data, "row_id bigint, meter_name string, token string")
     out = {r.row_id: r.canonical_id for r in C.map_names(rows, ref).collect()}
     assert out == {i: w for i, (_, w) in enumerate(NAMES)} | {100: NAMES[0][1]}
-    assert {(r.meter_name, r.n) for r in C.unmatched(rows, C.map_names(rows, ref)).collect()} == {(n, 1) for n, w in NAMES if w == U}
+    assert {(r.meter_name, r.n) for r in C.unmatched(rows, ref).collect()} == {(n, 1) for n, w in NAMES if w == U}
     assert C.map_names(rows.limit(0), ref).count() == 0
     assert {r.canonical_id for r in C.map_names(rows, ref.limit(0)).collect()} == {U}
 
