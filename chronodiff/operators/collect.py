@@ -49,6 +49,12 @@ def canonical_order(snapshot: DataFrame, kind: str) -> DataFrame:
     return snapshot.orderBy(*KEYS_OF[kind])
 
 
+def delta_order(deltas: DataFrame) -> DataFrame:
+    """Deltas in the order in which they are reported: by source, what was added, removed and modified, then by subject and field, in binary order."""
+    rank = F.array_position(F.array(F.lit("added"), F.lit("removed"), F.lit("modified")), F.col("delta_kind"))
+    return deltas.orderBy("source_id", rank, "subject", "field_path")
+
+
 def _normalised(landed: DataFrame, tasks: list[Task]) -> DataFrame:
     name, options = tasks[0].normalizer, tasks[0].options
     mine = landed.where(F.col("source_id").isin([t.source_id for t in tasks]))

@@ -80,15 +80,19 @@ def upsert(state: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     return both.groupBy(key).agg(F.max_by(F.struct(*[c for c in both.columns if c != key]), F.col(order)).alias("_r")).select(key, "_r.*").select(state.columns)
 
 
+def manifest_path(source_id: Column, fetched_at: Column, page: Column) -> Column:
+    """Where the manifest of a fetched body lies; a further page of a source has the suffix `.pN`."""
+    suffix = F.when(F.coalesce(page, F.lit(1)) > 1, F.concat(F.lit(".p"), page.cast("string"))).otherwise("")
+    return F.concat(F.lit("manifests/evidence/"), source_id, F.lit("/"), F.date_format(fetched_at, "yyyy-MM-dd'T'HH-mm-ss'Z'"), suffix, F.lit(".meta.json"))
+
+
 def manifest_record(df: DataFrame) -> DataFrame:
     """(path, source_id, url, fetched_at, http_status, sha256_full, sha256_stored) of fetched bodies (columns body, stored, page).
 
-    A further page of a source has the suffix `.pN`; the stored hash is null where the stored bytes are the whole.
+    The stored hash is null where the stored bytes are the whole.
     """
-    at = F.date_format("fetched_at", "yyyy-MM-dd'T'HH-mm-ss'Z'")
-    suffix = F.when(F.coalesce(F.col("page"), F.lit(1)) > 1, F.concat(F.lit(".p"), F.col("page").cast("string"))).otherwise("")
     full, stored = F.sha2("body", 256), F.sha2("stored", 256)
-    return df.select(F.concat(F.lit("manifests/evidence/"), "source_id", F.lit("/"), at, suffix, F.lit(".meta.json")).alias("path"), "source_id", "url", "fetched_at", "http_status",
+    return df.select(manifest_path(F.col("source_id"), F.col("fetched_at"), F.col("page")).alias("path"), "source_id", "url", "fetched_at", "http_status",
                      full.alias("sha256_full"), F.nullif(stored, full).alias("sha256_stored"))
 
 
@@ -162,3 +166,22 @@ def review_order(hinted: DataFrame, swept: DataFrame) -> DataFrame:
     """(id, hinted): what is to be reviewed, hinted ids first, then the rest, each once, in order of ids."""
     d = hinted.select("id", F.lit(True).alias("hinted")).unionByName(swept.select("id", F.lit(False).alias("hinted")))
     return d.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("hinted").alias("hinted")).orderBy(F.col("hinted").desc(), "id")
+
+
+def write_evidence(df: DataFrame, root: str) -> DataFrame:
+    """Appends fetched bodies (columns as for :func:`manifest_record`) and their manifests, and returns the manifests.
+
+    ``evidence`` holds (path, body), the bytes as they are stored, under their source; the path is the manifest's without its suffix.
+    """
+    manifests = manifest_record(df)
+    stored = df.withColumn("body", F.coalesce("stored", "body"))
+    named = manifest_path(F.col("source_id"), F.col("fetched_at"), F.col("page"))
+    stored.select("source_id", F.regexp_replace(named, r"\.meta\.json$", "").alias("path"), "body").write.mode("append").partitionBy("source_id").parquet(f"{root}/evidence")
+    manifests.write.mode("append").parquet(f"{root}/manifests")
+    return manifests
+
+
+def append_audit(spark: SparkSession, log: list[dict], path: str) -> None:
+    """Appends a connector's log of requests (source_id, url, status, attempt) to the audit table; one fetch's few rows."""
+    if log:
+        spark.createDataFrame([(x["source_id"], x["url"], x["status"], x["attempt"]) for x in log], "source_id string, url string, status int, attempt int").coalesce(1).write.mode("append").json(path)

@@ -145,6 +145,21 @@ def test_tables_of_runs(spark, tmp_path):
     assert [tuple(x) for x in store.review_order(store.drafts(r), spark.createDataFrame([("c",), ("a",), ("b",), (None,)], "id string")).collect()] == [("b", True), ("a", False), ("c", False)]
 
 
+def test_evidence_and_audit(spark, tmp_path):
+    d = spark.createDataFrame([("s", "https://h/x", AT, 200, bytearray(b"whole"), bytearray(b"part"), 1), ("s", "https://h/x?2", AT, 200, bytearray(b"two"), None, 2)], "source_id string, url string, fetched_at timestamp, http_status int, body binary, stored binary, page int")
+    m = {r.path: r for r in store.write_evidence(d, str(tmp_path)).collect()}
+    base = "manifests/evidence/s/2026-07-01T06-00-00Z"
+    assert set(m) == {f"{base}.meta.json", f"{base}.p2.meta.json"} and m[f"{base}.meta.json"].sha256_stored != m[f"{base}.meta.json"].sha256_full and m[f"{base}.p2.meta.json"].sha256_stored is None
+    assert {(r.path, bytes(r.body)) for r in spark.read.parquet(str(tmp_path / "evidence")).collect()} == {(base, b"part"), (f"{base}.p2", b"two")}
+    assert spark.read.parquet(str(tmp_path / "manifests")).count() == 2
+    row = {"source_id": "s", "url": "u", "status": 200, "attempt": 1}
+    for log in ([row], [], [row]):
+        store.append_audit(spark, log, str(tmp_path / "audit"))
+    assert spark.read.json(str(tmp_path / "audit")).count() == 2
+    x = spark.createDataFrame([("a", "modified", "z", "f"), ("a", "added", "b", "f"), ("a", "removed", "a", "f"), ("a", "added", "B", "f")], "source_id string, delta_kind string, subject string, field_path string")
+    assert [r.subject for r in K.delta_order(x).collect()] == ["B", "b", "a", "z"]
+
+
 def test_registry_lookups(spark):
     s = spark.createDataFrame([("a", "https://H.x/1", "GET", False), ("b", "https://h.x/2", "GET", None), ("c", "https://h.x/3", None, False), ("d", "https://y.x/1", "GET", True), ("e", "https://y.x/2", "GET", False)], "source_id string, url string, method string, excluded boolean")
     assert [tuple(r) for r in registry.hosts_to_sources(s).collect()] == [("h.x", ["a", "b"])]
