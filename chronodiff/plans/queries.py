@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronodiff.operators import instants, nested, references, snapshots, units
 from chronodiff.plans.reference_queries import REFERENCE
 from chronodiff.plans.run_queries import RUNS
+from chronodiff.plans.source_queries import SOURCES
 from chronodiff.session import prepare
 
 
@@ -46,4 +47,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": _tables("azure_retail_prices", "openrouter_models")(units.micro_prices),
     **REFERENCE,
     **RUNS,
+    **SOURCES,
 }
