@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from chronodiff.functions import identity as I
 from chronodiff.functions import urls as U
 from chronodiff.operators import corroborate, diff, events, fold, guards, integrity, references, watch
-from chronodiff.session import prepare, shared_folder
+from chronodiff.session import prepare, settled, shared_folder
 from chronodiff.sources import normalize, pages, registry, store
 from chronodiff.streaming import ingest
 from chronodiff.streaming.corroborate import dispatch_stream
@@ -111,7 +111,7 @@ def reversal_pairs(spark, d):
     e = _read(spark, d, "change_events").where(F.col("event_type").isin("model.released", "model.deprecated") & F.col("model_id").isNotNull())
     gone = F.col("event_type") == "model.deprecated"
     m = e.select("provider", F.col("model_id").alias("model"), "event_type", F.lit("models[].id").alias("field_path"), F.when(gone, F.col("model_id")).alias("old"), F.when(~gone, F.col("model_id")).alias("new"), "observed_at")
-    x, _ = events.mint(m)
+    x = settled(events.mint(m)[0].select("id", "hash8", "inverse8", "observed_at"))
     at = lambda k: x.select("id", F.col(k).alias("k"), "observed_at")
     # The tables' reversals lie weeks apart.
     d = events.latest_within(at("inverse8"), at("hash8"), ["k"], "observed_at", "id", 24 * 60)
