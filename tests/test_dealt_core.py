@@ -129,6 +129,43 @@ def test_zones_of_many_sources(spark):
     assert all(got[i] == got[50 + i] for i in range(30))
 
 
+VALS = "record_table string, row_id bigint, pos bigint, source_id string, text string, landed_at timestamp, record string"
+
+
+def test_zones_by_order(spark):
+    """A backlog landed in order much later: lags say nothing of hours. Every second value is written with its offset, and the others lie between."""
+    r = random.Random(5)
+    zones = ["Asia/Tokyo", "America/New_York", "Europe/Berlin", "Asia/Kolkata", "UTC", "Australia/Sydney"]
+    data, true, src = [], {}, [(f"s{k}", None, "mdy") for k in range(len(zones))]
+    for k, z in enumerate(zones):
+        for i in range(41 * 5):
+            # 41 bursts in a year, of values some minutes apart.
+            t = dt.datetime(2025, 1, 1, 0, 7, tzinfo=dt.UTC) + dt.timedelta(days=9 * (i // 5), hours=r.randrange(20) if i % 5 == 0 else 0)
+            t = t if i % 5 == 0 else data[-1][7] + dt.timedelta(minutes=r.randint(6, 25))
+            local = t.astimezone(zoneinfo.ZoneInfo(z))
+            landed = dt.datetime(2027, 1, 1, tzinfo=dt.UTC) + dt.timedelta(minutes=i)
+            data.append(("t", 1000 * k + i, 0, f"s{k}", local.strftime("%Y-%m-%d %H:%M:%S") if i % 5 in (1, 3) else local.isoformat(), landed, None, t))
+            true[1000 * k + i] = (t - dt.datetime(1970, 1, 1, tzinfo=dt.UTC)) // dt.timedelta(microseconds=1)
+    vals = spark.createDataFrame([x[:7] for x in data], VALS)
+    sources = spark.createDataFrame(src, "source_id string, zone string, date_order string")
+    out = {x.source_id: x.estimated_zone for x in instants.zone_report(vals, sources).collect()}
+    assert all(same_history(out[f"s{k}"], z) for k, z in enumerate(zones)), out
+    assert {x.row_id: x.epoch_us for x in instants.normalise(vals, sources, estimate=True).collect()} == true
+
+
+def test_sequence_of_odd_values(spark):
+    """Nulls, arrivals together, bare days, repeated and contradicting records, other tables, far neighbours."""
+    rows = [("a", 1, "s", "2026-01-01T10:00:00Z", at(1), None), ("a", 2, "s", "2026-01-01 11:00:00", at(2), None), ("a", 3, "s", "2026-01-01 12:00:00", at(2), None), ("a", 4, "s", "2026-01-01", at(3), None),
+            ("a", 5, "s", "2026-01-01T13:00:00Z", at(4), None), ("a", 6, "s", "2026-01-04T13:00:00Z", at(5), None), ("a", 7, "s", "2026-01-04 14:00:00", None, None), ("a", 8, None, "2026-01-04 14:00:00", at(6), None),
+            ("b", 9, "s", "2026-01-01 10:00:00", at(1), "x"), ("b", 10, "s", "2026-01-01T09:00:00Z", at(7), "x"), ("b", 11, "s", "2026-01-01", at(2), "y"), ("b", 12, "s", "2026-01-01 10:30:00", at(8), "y"),
+            ("b", 13, "s", "2026-01-01T09:00:00Z", at(3), "z"), ("b", 14, "s", "2026-01-01T19:00:00Z", at(4), "z"), ("b", 15, "s", "n/a", at(5), "w"), ("b", 16, "s", "2026-01-01 10:40:00", at(6), "v")]
+    vals = spark.createDataFrame([(t, i, 0, s, x, at_, rec) for t, i, s, x, at_, rec in rows], VALS)
+    src = spark.createDataFrame([("s", None, "mdy")], "source_id string, zone string, date_order string")
+    us = lambda h, m=0: (dt.datetime(2026, 1, 1, h, m) - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    want = Counter([("s", "a", us(10), None, None, us(11)), ("s", "a", us(10), None, None, us(12)), ("s", "a", None, us(12), us(13), None), ("s", "b", us(9), None, None, us(10, 30)), ("s", "b", None, us(10, 30), None, us(10, 40))])
+    assert Counter(tuple(x) for x in instants.sequence_pairs(instants.located(vals, src)).collect()) == want
+
+
 def same_history(a, b):
     days = [dt.datetime(2025, 1, 1, tzinfo=dt.UTC) + dt.timedelta(days=d) for d in range(365)]
     return all(d.astimezone(zoneinfo.ZoneInfo(a)).utcoffset() == d.astimezone(zoneinfo.ZoneInfo(b)).utcoffset() for d in days)
